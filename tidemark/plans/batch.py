@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,12 +74,11 @@ class BatchCounts:
     gold_rejected_count: int = 0
 
 
-_COUNTS = tuple(BatchCounts.__dataclass_fields__)
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("begin_us", T.LongType()),
         T.StructField("end_us", T.LongType()),
-        *[T.StructField(name, T.LongType()) for name in _COUNTS],
+        *[T.StructField(f.name, T.LongType()) for f in fields(BatchCounts)],
         T.StructField("stream_id", T.StringType()),
         T.StructField("epoch_id", T.LongType()),
         T.StructField("processing_seconds", T.DoubleType()),
@@ -110,17 +109,19 @@ def append_audit(
     """Record a finished batch, with the stream and epoch it came from if any.
     Written last: a batch that fails before this is
     read again by the next run."""
-    row = (
-        window.begin_us,
-        window.end_us,
-        *[getattr(counts, name) for name in _COUNTS],
-        *(epoch or (None, None)),
-        processing_seconds,
-    )
-    base = T.StructType(AUDIT_SCHEMA.fields[: len(row)])
+    values = {
+        "begin_us": window.begin_us,
+        "end_us": window.end_us,
+        **asdict(counts),
+        "stream_id": epoch[0] if epoch else None,
+        "epoch_id": epoch[1] if epoch else None,
+        "processing_seconds": processing_seconds,
+    }
+    columns = [
+        F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA if f.name in values
+    ]
     (
-        with_batch_metadata(spark.createDataFrame([row], base))
-        .coalesce(1)
+        with_batch_metadata(spark.range(0, 1, numPartitions=1).select(*columns))
         .write.mode("append")
         .partitionBy(*AUDIT_SPEC.partition_fields)
         .parquet(lake.path(lake.audit_table))

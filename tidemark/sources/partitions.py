@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,7 @@ class Partitions:
     def predicate(self) -> Column:
         """Literal condition on the partition fields; NULL matches NULL. Spark
         evaluates it on the directory listing, so other files are never opened."""
-        return _any([_all(self.fields, value) for value in self.values])
+        return _matching(self.fields, self.values)
 
     def directories(self, path: str) -> str:
         """Glob over the first-level directories, so that only they are listed.
@@ -38,11 +39,31 @@ class Partitions:
         return f"{path}/{self.fields[0]}={{{','.join(names)}}}"
 
 
-def _all(fields: Sequence[str], value: Sequence) -> Column:
-    condition = F.lit(True)
-    for name, part in zip(fields, value):
-        condition = condition & (F.col(name).isNull() if part is None else F.col(name) == F.lit(part))
-    return condition
+def _one_of(name: str, values: Sequence) -> Column:
+    present = [v for v in values if v is not None]
+    conditions = [F.col(name).isin(present)] if present else []
+    if len(present) < len(values):
+        conditions.append(F.col(name).isNull())
+    return _any(conditions)
+
+
+def _matching(fields: Sequence[str], values: Iterable[tuple]) -> Column:
+    """Condition that the fields hold one of ``values``. Leading values with the
+    same continuations share a condition, which keeps it short when, say, every
+    day of a batch has the same categories."""
+    continuations: dict = defaultdict(set)
+    for head, *tail in values:
+        continuations[head].add(tuple(tail))
+    heads = defaultdict(list)
+    for head, tails in continuations.items():
+        heads[frozenset(tails)].append(head)
+    conditions = []
+    for tails, alike in heads.items():
+        condition = _one_of(fields[0], alike)
+        if len(fields) > 1:
+            condition = condition & _matching(fields[1:], tails)
+        conditions.append(condition)
+    return _any(conditions)
 
 
 def _any(conditions: list[Column]) -> Column:

@@ -11,6 +11,10 @@ from tidemark.sources.partitions import Partitions
 from tidemark.spec import COMMIT_COL, TableSpec
 
 
+class ColumnTypeError(ValueError):
+    """A batch gives a stored column another type."""
+
+
 def _stored_schema(
     spark: SparkSession, path: str, location: str, spec: TableSpec, every_file: bool
 ) -> T.StructType | None:
@@ -28,6 +32,19 @@ def _stored_schema(
     )
 
 
+def _widened(stored: T.StructType, also: T.StructType, spec: TableSpec) -> T.StructType:
+    wanted = {f.name: f for f in also.fields}
+    fields = [wanted[f.name] if f.name in spec.partition_fields else f for f in stored.fields]
+    for f in fields:
+        # Rows of both types in one table could not be read back together.
+        if f.name in wanted and f.dataType.simpleString() != wanted[f.name].dataType.simpleString():
+            raise ColumnTypeError(
+                f"{f.name} is stored as {f.dataType.simpleString()}, "
+                f"not {wanted[f.name].dataType.simpleString()}"
+            )
+    return T.StructType(fields + [f for f in also.fields if f.name not in stored.names])
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -39,6 +56,7 @@ def read_table(
 
     ``also`` is for reading rows to write them back: every file's columns are kept,
     the columns of ``also`` are added, and partition fields take their types from it.
+    A column they share must have one type.
     """
     location = partitions.directories(path) if partitions else path
     try:
@@ -46,10 +64,7 @@ def read_table(
         if schema is None:
             return None
         if also is not None:
-            wanted = {f.name: f for f in also.fields}
-            fields = [wanted[f.name] if f.name in spec.partition_fields else f for f in schema.fields]
-            fields += [f for f in also.fields if f.name not in schema.names]
-            schema = T.StructType(fields)
+            schema = _widened(schema, also, spec)
         df = spark.read.option("basePath", path).schema(schema).parquet(location)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
