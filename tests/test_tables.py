@@ -38,7 +38,7 @@ def test_specs_and_names():
     lake = Lake("/data")
     assert lake.path("silver_events") == "/data/silver_events"
     assert lake.gold_table("by_hour") == "gold_agg_by_hour"
-    assert lake.spec("silver_events").keys == ("dt", "category_code", "id")
+    assert lake.spec("silver_events").keys == ("id", "dt", "category_code")
     assert lake.spec("never described") == TableSpec(("dt",), "id", "ts", "COPY_ON_WRITE")
     assert set(DEFAULT_SPECS) == {
         "bronze_events",

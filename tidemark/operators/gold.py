@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.casts import hour_of
 from tidemark.functions.marks import instant
 
-# Silver columns the aggregates read; nothing else needs to leave the scan.
-SOURCE_COLUMNS = ("id", "ts", "amount", "customer_id", "dt", "category_code", "is_valid")
-
 GROUP_KEYS = {"by_category": ("category_code", "dt"), "by_hour": ("dt", "hour")}
 
 

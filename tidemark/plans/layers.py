@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.storagelevel import StorageLevel
+from pyspark.util import inheritable_thread_target
 
 from tidemark.functions.marks import as_utc
 from tidemark.operators import gold
@@ -16,7 +17,7 @@ from tidemark.operators.silver import to_silver
 from tidemark.plans.batch import BatchCounts, BatchWindow, append_audit, next_window
 from tidemark.sources.partitions import partitions_of
 from tidemark.sources.readers import incremental, snapshot
-from tidemark.sources.writers import replace_partitions, stamped, upsert
+from tidemark.sources.writers import UpsertReport, replace_partitions, stamped, upsert
 from tidemark.spec import Lake
 
 SLICE = "slice"
@@ -73,31 +74,31 @@ def process(
 
     # The columns are known, so no file has to be opened to learn them.
     stored = replace(silver_spec, schema=stamped(silver_rows, window.end_us).schema)
-    silver_slice = (
-        incremental(spark, silver_path, stored, window.begin_us, window.end_us, silver.partitions)
-        .select(*gold.SOURCE_COLUMNS)
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # Not cached: each use reads a few columns of the row groups this commit wrote,
+    # which is cheaper than building the cache.
+    silver_slice = incremental(
+        spark, silver_path, stored, window.begin_us, window.end_us, silver.partitions
     )
-    try:
-        counts["silver_slice_count"] = silver_slice.count()
-        if counts["silver_slice_count"] == 0:
-            return BatchCounts(**counts)
-        source = silver_slice
+    counts["silver_slice_count"] = silver_slice.count()
+    if counts["silver_slice_count"] == 0:
+        return BatchCounts(**counts)
+    source = silver_slice
+    if gold_mode == REFRESH:
+        source = snapshot(spark, silver_path, stored, partitions_of(silver_slice, GOLD_DAY))
+    tables = gold.aggregations(source, window.batch_id, as_of)
+
+    def write(name: str) -> UpsertReport:
+        path, spec = lake.path(lake.gold_table(name)), lake.spec(lake.gold_table(name))
+        common = {"on_null_key": "reject", "unique": True}
         if gold_mode == REFRESH:
-            days = partitions_of(silver_slice, GOLD_DAY)
-            source = snapshot(spark, silver_path, stored, days).select(*gold.SOURCE_COLUMNS)
-        reports = {}
-        for name, groups in gold.aggregations(source, window.batch_id, as_of).items():
-            path, spec = lake.path(lake.gold_table(name)), lake.spec(lake.gold_table(name))
-            common = {"on_null_key": "reject", "unique": True}
-            if gold_mode == REFRESH:
-                reports[name] = replace_partitions(groups, path, spec, window.end_us, **common)
-            else:
-                reports[name] = upsert(
-                    groups, path, spec, window.end_us, merge_order=merge_order, **common
-                )
-    finally:
-        silver_slice.unpersist()
+            return replace_partitions(tables[name], path, spec, window.end_us, **common)
+        return upsert(tables[name], path, spec, window.end_us, merge_order=merge_order, **common)
+
+    # Separate tables, so their jobs can share the cluster.
+    with ThreadPoolExecutor(len(tables)) as pool:
+        inherit = inheritable_thread_target(spark)
+        writing = {name: pool.submit(inherit(write), name) for name in tables}
+        reports = {name: future.result() for name, future in writing.items()}
     written = {name: report.rows + report.rejected for name, report in reports.items()}
     return BatchCounts(
         **counts,
