@@ -21,11 +21,12 @@ silver AS (
   FROM typed
 )"""
 
+_DATE = "cast(transaction_date AS varchar) AS transaction_date"
 _DISCOUNT = "round(discount_raw + 1e-9, 4) AS discount_amount"
 
 
 def _silver_list(commit: str = COMMIT_COL) -> str:
-    return f"""id, ver, ts, category, customer_id, amount, quantity, discount_pct, transaction_date,
+    return f"""id, ver, ts, category, customer_id, amount, quantity, discount_pct, {_DATE},
   dt, {commit} AS {COMMIT_COL}, is_valid, category_code, has_customer_id, {_DISCOUNT}"""
 
 
@@ -150,7 +151,7 @@ ORACLE: dict[str, str] = {
     "silver_processed_at": _silver_columns("TIMESTAMP '2024-03-01 00:00:00' AS processed_at"),
     "silver_amount_cast": _silver_columns("amount"),
     "silver_quantity_cast": _silver_columns("quantity"),
-    "silver_transaction_date": _silver_columns("transaction_date"),
+    "silver_transaction_date": _silver_columns(_DATE),
     "silver_is_valid": _silver_columns("is_valid"),
     "silver_category_code": _silver_columns("category_code"),
     "silver_dt": _silver_columns("dt"),
