@@ -30,7 +30,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 MEMORY = "8g"
 
-HEADLINES = () if os.environ.get("ONLY_COMPARE") else (
+HEADLINES = (
     "silver_full",
     "gold_by_category",
     "gold_by_hour",

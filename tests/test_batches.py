@@ -15,7 +15,7 @@ from tidemark.plans.layers import REFRESH, run_batch
 from tidemark.sources.readers import snapshot, table_exists
 from tidemark.sources.writers import insert
 from tidemark.spec import COMMIT_COL, Lake
-from tidemark.streaming.arrivals import run_stream
+from tidemark.streaming.arrivals import CADENCE, run_stream
 
 START = datetime(2024, 1, 10, 12, tzinfo=timezone.utc)
 
@@ -232,6 +232,23 @@ def test_stream_takes_each_file_once(spark, folder):
     assert _totals(spark, lake) == {"A_2024-01-01": 7.0, "A_2024-01-02": 10.0}
 
 
+def test_stream_on_a_cadence(spark, folder):
+    lake = Lake(f"{folder}/tables")
+    _drop_off(spark, folder, _event(1))
+    assert CADENCE == "5 minutes"
+    schema = spark.createDataFrame([], BRONZE).schema
+    query = run_stream(
+        spark, lake, f"{folder}/arrivals", schema, f"{folder}/checkpoint", cadence="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        _drop_off(spark, folder, _event(2, day=2))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert _stored(spark, lake, "silver_events").count() == 2
+
+
 def test_stream_started_over_counts_epochs_anew(spark, folder):
     lake = Lake(f"{folder}/tables")
     _drop_off(spark, folder, _event(1))

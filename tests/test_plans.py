@@ -202,7 +202,6 @@ def test_hot_partition_is_split_inside_a_stream(spark, folder):
     _hot_rows(spark).write.parquet(f"{folder}/in")
 
     def deliver(batch, _epoch):
-        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         upsert(batch, f"{folder}/out", HOT, 1)
 
     with setting(spark, adaptive__advisoryPartitionSizeInBytes="1mb"):

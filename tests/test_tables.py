@@ -191,16 +191,18 @@ def test_session_overwrite_mode_does_not_matter(spark, folder):
     assert [r[4] for r in _stored(spark, folder)] == ["z", "y"]
 
 
-def test_typed_partition_field(spark, folder):
-    spec = TableSpec(partition_fields=("day",), record_key="id", ordering_field="ts")
-    frame = spark.sql("SELECT 1 AS id, t AS ts, DATE'2024-01-01' AS day FROM VALUES (1), (2) AS v(t)")
+@pytest.mark.parametrize(
+    "literal", ["DATE'2024-01-01'", "7", "true", "1.50BD", "TIMESTAMP'2024-01-01 10:00:00'"]
+)
+def test_typed_partition_field(spark, folder, literal):
+    spec = TableSpec(partition_fields=("part",), record_key="id", ordering_field="ts")
+    frame = spark.sql(f"SELECT 1 AS id, t AS ts, {literal} AS part FROM VALUES (1), (2) AS v(t)")
     for mark in (1, 2):
         upsert(frame, folder, spec, mark)
     schema = T.StructType([*frame.schema.fields, T.StructField(COMMIT_COL, T.LongType())])
-    typed = TableSpec(("day",), "id", "ts", schema=schema)
-    assert [(r.ts, str(r.day), r[COMMIT_COL]) for r in snapshot(spark, folder, typed).collect()] == [
-        (2, "2024-01-01", 2)
-    ]
+    typed = TableSpec(("part",), "id", "ts", schema=schema)
+    stored = snapshot(spark, folder, typed).collect()
+    assert [(r.ts, r.part, r[COMMIT_COL]) for r in stored] == [(2, frame.first().part, 2)]
 
 
 def test_default_spec_table(spark, folder):

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ MAX_LITERAL_PARTITIONS = 1000
 # Directory name Spark gives a NULL partition value.
 _NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
 
+# Values whose text is the same in Python and in a directory name.
+_PLAIN_TYPES = (str, int, date, type(None))
+
 
 @dataclass(frozen=True)
 class Partitions:
@@ -33,7 +37,10 @@ class Partitions:
     def directories(self, path: str) -> str:
         """Glob over the first-level directories, so that only they are listed.
         The table's own path if a value would need escaping in it."""
-        names = sorted({_NULL_DIRECTORY if v[0] is None else str(v[0]) for v in self.values})
+        heads = {value[0] for value in self.values}
+        if any(isinstance(head, bool) or not isinstance(head, _PLAIN_TYPES) for head in heads):
+            return path
+        names = sorted(_NULL_DIRECTORY if head is None else str(head) for head in heads)
         if not names or not all(re.fullmatch(r"[\w.-]+", name) for name in names):
             return path
         return f"{path}/{self.fields[0]}={{{','.join(names)}}}"

@@ -53,9 +53,6 @@ def run_stream(
 
     def deliver(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        # Streaming turns adaptive execution off for the sake of stateful plans;
-        # these are ordinary batch jobs, which want it for skew and file sizes.
-        session.conf.set("spark.sql.adaptive.enabled", "true")
         epoch = (stream_id.result(), epoch_id)
         if epoch_finished(session, lake, *epoch):
             return
