@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.functions.marks import from_micros, micros_to_wall, to_micros, wall_to_micros
 from tidemark.operators import gold
 from tidemark.plans import layers
-from tidemark.plans.batch import BatchWindow, high_water_mark, next_window, read_audit
+from tidemark.plans.batch import (
+    BatchCounts,
+    BatchWindow,
+    append_audit,
+    epoch_finished,
+    high_water_mark,
+    next_window,
+    read_audit,
+)
 from tidemark.plans.layers import REFRESH, run_batch
 from tidemark.sources.readers import snapshot, table_exists
 from tidemark.sources.writers import insert
@@ -92,6 +100,26 @@ def test_windows_follow_the_mark(spark, folder):
     assert read_audit(spark, lake).count() == 2
 
 
+def test_mark_is_found_in_recent_and_in_old_days(spark, folder):
+    lake, now = Lake(folder), datetime.now(timezone.utc)
+    assert high_water_mark(spark, lake) is None
+    for end in (START, now - timedelta(days=40), now - timedelta(days=30), now, now + timedelta(days=2)):
+        append_audit(spark, lake, BatchWindow(0, to_micros(end)), BatchCounts(), 0.0, ("s", end.day))
+        assert high_water_mark(spark, lake) == to_micros(end)
+    audit = read_audit(spark, lake)
+    assert audit.count() == 5
+
+
+def test_epochs_are_told_apart(spark, folder):
+    lake, now = Lake(folder), datetime.now(timezone.utc)
+    assert not epoch_finished(spark, lake, "s", 0)
+    append_audit(spark, lake, BatchWindow.between(START, now - timedelta(days=9)), BatchCounts(), 0.0, ("s", 4))
+    append_audit(spark, lake, BatchWindow.between(START, now), BatchCounts(), 0.0, ("other", 9))
+    append_audit(spark, lake, BatchWindow.between(START, now), BatchCounts(), 0.0)
+    assert epoch_finished(spark, lake, "s", 4) and not epoch_finished(spark, lake, "s", 5)
+    assert not epoch_finished(spark, lake, "new", 0)
+
+
 def test_audit_row(spark, folder):
     lake = Lake(folder)
     _arrive(spark, lake, 1, _event(1), _event(1, hour=8), _event(2, category=None), _event(None))
