@@ -8,6 +8,7 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
 from pyspark.util import inheritable_thread_target
 
 from tidemark.functions.marks import as_utc
@@ -49,12 +50,6 @@ def process(
     as_of = as_utc(as_of or datetime.now(timezone.utc))
     silver_path, silver_spec = lake.path(lake.silver_table), lake.spec(lake.silver_table)
 
-    # Counted from the scan, on no more than the commit mark: counters updated
-    # inside tasks count twice when a lost executor's work is done again.
-    bronze_count = bronze.count()
-    if bronze_count == 0:
-        return BatchCounts()
-
     silver_rows = to_silver(bronze, as_of)
     silver = upsert(
         silver_rows,
@@ -64,9 +59,10 @@ def process(
         merge_order=merge_order,
         on_null_key="reject",
     )
+    sent = silver.rows + silver.rejected  # silver keeps every bronze row
     counts = {
-        "bronze_record_count": bronze_count,
-        "silver_record_count": bronze_count,  # silver keeps every row
+        "bronze_record_count": sent,
+        "silver_record_count": sent,
         "silver_rejected_count": silver.rejected,
     }
     if not silver.rows:
@@ -90,9 +86,13 @@ def process(
     def write(name: str) -> UpsertReport:
         path, spec = lake.path(lake.gold_table(name)), lake.spec(lake.gold_table(name))
         common = {"on_null_key": "reject", "unique": True}
-        if gold_mode == REFRESH:
-            return replace_partitions(tables[name], path, spec, window.end_us, **common)
-        return upsert(tables[name], path, spec, window.end_us, merge_order=merge_order, **common)
+        groups = tables[name].persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if gold_mode == REFRESH:
+                return replace_partitions(groups, path, spec, window.end_us, **common)
+            return upsert(groups, path, spec, window.end_us, merge_order=merge_order, **common)
+        finally:
+            groups.unpersist()
 
     # Separate tables, so their jobs can share the cluster.
     with ThreadPoolExecutor(len(tables)) as pool:

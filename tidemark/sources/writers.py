@@ -7,8 +7,6 @@ run the batch again, which leaves the same table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +26,8 @@ class NullKeyError(ValueError):
 
 @dataclass(frozen=True)
 class UpsertReport:
-    """``rows`` after deduplication, ``rejected`` rows without a record key, and
-    the partitions written (None if there are too many to list)."""
+    """Rows sent: ``rows`` with a record key and ``rejected`` without one; and the
+    partitions they touch (None if there are too many to list)."""
 
     rows: int
     rejected: int
@@ -94,42 +92,29 @@ def _touched_rows(
     return existing.join(wanted, same, "left_semi")
 
 
-@contextmanager
-def _prepared(
-    df: DataFrame,
-    spec: TableSpec,
-    commit_us: int | None,
-    on_null_key: str,
-    unique: bool,
-    max_literal_partitions: int,
-) -> Iterator[tuple[DataFrame, UpsertReport]]:
-    """The batch as it will be stored, one row per key, with its totals."""
+def _survey(df: DataFrame, spec: TableSpec, on_null_key: str, limit: int) -> UpsertReport:
+    """What a batch holds, from a read of no more than its key and partition columns."""
     if on_null_key not in ("raise", "reject"):
         raise ValueError(f"unknown on_null_key {on_null_key!r}")
     fields, keyed = spec.partition_fields, F.col(spec.record_key).isNotNull()
-    rows = blank_to_null(stamped(df, commit_us), fields)
-    if not unique:
-        rows = latest_per_key(rows, spec.keys, spec.ordering_field)
-    # Read several times; recomputed from its source if an executor goes.
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        totals = [F.count_if(keyed).alias("rows"), F.count_if(~keyed).alias("keyless")]
-        found = rows.groupBy(*fields).agg(*totals).limit(max_literal_partitions + 1).collect()
-        listed = len(found) <= max_literal_partitions
-        sums = found if listed else rows.agg(*totals).collect()
-        rejected = sum(row["keyless"] for row in sums)
-        if rejected and not unique:  # versions without a key were folded together above
-            rejected = df.where(~keyed).count()
-        if rejected and on_null_key == "raise":
-            raise NullKeyError(f"{rejected} rows have no {spec.record_key}")
-        values = tuple(tuple(row)[: len(fields)] for row in found if row["rows"])
-        yield rows.where(keyed), UpsertReport(
-            rows=sum(row["rows"] for row in sums),
-            rejected=rejected,
-            partitions=Partitions(fields, values) if listed else None,
-        )
-    finally:
-        rows.unpersist()
+    totals = [F.count_if(keyed).alias("rows"), F.count_if(~keyed).alias("keyless")]
+    found = df.groupBy(*fields).agg(*totals).limit(limit + 1).collect()
+    listed = len(found) <= limit
+    sums = found if listed else df.agg(*totals).collect()
+    rejected = sum(row["keyless"] for row in sums)
+    if rejected and on_null_key == "raise":
+        raise NullKeyError(f"{rejected} rows have no {spec.record_key}")
+    values = tuple(tuple(row)[: len(fields)] for row in found if row["rows"])
+    return UpsertReport(
+        rows=sum(row["rows"] for row in sums),
+        rejected=rejected,
+        partitions=Partitions(fields, values) if listed else None,
+    )
+
+
+def _keyed(df: DataFrame, spec: TableSpec, unique: bool) -> DataFrame:
+    keyed = df.where(F.col(spec.record_key).isNotNull())
+    return keyed if unique else latest_per_key(keyed, spec.keys, spec.ordering_field)
 
 
 def upsert(
@@ -145,16 +130,36 @@ def upsert(
 ) -> UpsertReport:
     """Insert new keys and replace stored ones in the partitions the batch touches.
 
-    ``unique`` says the batch has one row per key already. Rows without a record
-    key raise, or with ``on_null_key="reject"`` are left out and counted.
-    ``commit_us`` must be later than every earlier commit that is still to be
-    read incrementally; writing a batch again with its own mark changes nothing.
+    ``unique`` says the batch has one row per key already and is cheap to read
+    again, as a cached aggregate is. Rows without a record key raise, or with
+    ``on_null_key="reject"`` are left out and counted. ``commit_us`` must be later
+    than every earlier commit that is still to be read incrementally; writing a
+    batch again with its own mark changes nothing.
     """
-    with _prepared(df, spec, commit_us, on_null_key, unique, max_literal_partitions) as (rows, report):
-        if report.rows:
-            existing = _touched_rows(df.sparkSession, path, spec, rows, report.partitions)
-            merged = rows if existing is None else merge_batch(existing, rows, spec, merge_order)
-            _save(_laid_out(merged, spec, COMMIT_COL), path, spec, "overwrite")
+    sent = blank_to_null(stamped(df, commit_us), spec.partition_fields)
+    report = _survey(sent, spec, on_null_key, max_literal_partitions)
+    if not report.rows:
+        return report
+    rows = _keyed(sent, spec, unique)
+    if report.partitions is not None:
+        # A batch that reads differently the second time must not overwrite a
+        # partition whose stored rows were not read.
+        found = F.assert_true(report.partitions.predicate(), F.lit("the batch changed while it was written"))
+        rows = rows.where(found.isNull())
+    existing = _touched_rows(df.sparkSession, path, spec, rows, report.partitions)
+    # A merge reads the batch several times, and the batch's size decides its joins.
+    # What an executor takes with it is computed from the source again.
+    cached = existing is not None and not unique
+    if cached:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if cached:
+            rows.count()
+        merged = rows if existing is None else merge_batch(existing, rows, spec, merge_order)
+        _save(_laid_out(merged, spec, COMMIT_COL), path, spec, "overwrite")
+    finally:
+        if cached:
+            rows.unpersist()
     return report
 
 
@@ -168,7 +173,8 @@ def replace_partitions(
     unique: bool = False,
 ) -> UpsertReport:
     """Make the batch the whole content of every partition it touches."""
-    with _prepared(df, spec, commit_us, on_null_key, unique, MAX_LITERAL_PARTITIONS) as (rows, report):
-        if report.rows:
-            _save(_laid_out(rows, spec, COMMIT_COL), path, spec, "overwrite")
+    sent = blank_to_null(stamped(df, commit_us), spec.partition_fields)
+    report = _survey(sent, spec, on_null_key, MAX_LITERAL_PARTITIONS)
+    if report.rows:
+        _save(_laid_out(_keyed(sent, spec, unique), spec, COMMIT_COL), path, spec, "overwrite")
     return report
