@@ -251,16 +251,6 @@ def test_failed_write_leaves_the_table(spark, folder, monkeypatch):
     assert _stored(spark, folder) == before
 
 
-@pytest.mark.parametrize("unique", [True, False])
-def test_batch_that_changes_while_written_is_refused(spark, folder, monkeypatch, unique):
-    upsert(_rows(spark, (1, 1, "d", "a", "x"), (2, 1, "e", "a", "y")), folder, SPEC, 1)
-    before, survey = _stored(spark, folder), writers._survey
-    monkeypatch.setattr(writers, "_survey", lambda df, *rest: survey(df.where("dt = 'd'"), *rest))
-    with pytest.raises(Exception, match="changed while it was written"):
-        upsert(_rows(spark, (1, 2, "d", "a", "z"), (3, 2, "e", "a", "z")), folder, SPEC, 2, unique=unique)
-    assert _stored(spark, folder) == before
-
-
 def test_conflicting_types_are_an_error(spark, folder):
     upsert(_rows(spark, (1, 1, "d", "a", "x")), folder, SPEC, 1)
     with pytest.raises(ColumnTypeError, match="v is stored as string, not int"):

@@ -130,6 +130,8 @@ def upsert(
 ) -> UpsertReport:
     """Insert new keys and replace stored ones in the partitions the batch touches.
 
+    The batch is read more than once and must read the same each time: no random
+    values, no source that changes meanwhile.
     ``unique`` says the batch has one row per key already and is cheap to read
     again, as a cached aggregate is. Rows without a record key raise, or with
     ``on_null_key="reject"`` are left out and counted. ``commit_us`` must be later
@@ -141,11 +143,6 @@ def upsert(
     if not report.rows:
         return report
     rows = _keyed(sent, spec, unique)
-    if report.partitions is not None:
-        # A batch that reads differently the second time must not overwrite a
-        # partition whose stored rows were not read.
-        found = F.assert_true(report.partitions.predicate(), F.lit("the batch changed while it was written"))
-        rows = rows.where(found.isNull())
     existing = _touched_rows(df.sparkSession, path, spec, rows, report.partitions)
     # A merge reads the batch several times, and the batch's size decides its joins.
     # What an executor takes with it is computed from the source again.
