@@ -53,12 +53,11 @@ def ready(df: DataFrame) -> DataFrame:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there: its lineage
-    ends, and it survives the loss of executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """``df`` written to the shared folder and read from there: its lineage ends, it
+    survives the loss of executors, and its true size is known to the plans that follow.
+    (Checkpoints also carry the constraints of the plan they replace, which grow without
+    bound in loops.)"""
+    return shared_parquet(df, "kept")
 
 
 def buckets_for(df: DataFrame, bytes_each: int) -> int:

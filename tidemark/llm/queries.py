@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, licenses, mixing, ngram_join
+from tidemark.llm import chat, decontaminate, licenses, mixing, ngram_join, secrets
 from tidemark.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -27,12 +31,16 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_ngram_jaccard, op3_chat_format, op5_license_scan, op10_mixing)
+    f.__name__: f for f in (op1_decontamination, op2_ngram_jaccard, op3_chat_format, op5_license_scan, op7_secret_scan, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {"op3_chat_format": chat.SQL, "op10_mixing": mixing.SQL}
