@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, licenses, mixing, ngram_join, secrets
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    mixing,
+    neighbours,
+    ngram_join,
+    quality,
+    secrets,
+    token_counts,
+    warc,
+)
 from tidemark.llm.common import table
 
 
@@ -27,20 +38,51 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(rows.union(own)))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(pages).drop("url", "payload")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.with_quality(documents, table(spark, sf_dir, "labels")).drop("text")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_ngram_jaccard, op3_chat_format, op5_license_scan, op7_secret_scan, op10_mixing)
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_ngram_jaccard,
+        op3_chat_format,
+        op4_warc,
+        op5_license_scan,
+        op6_nearest,
+        op7_secret_scan,
+        op8_quality,
+        op9_token_counts,
+        op10_mixing,
+    )
 }
 
-ORACLE: dict[str, str] = {"op3_chat_format": chat.SQL, "op10_mixing": mixing.SQL}
+ORACLE: dict[str, str] = {"op3_chat_format": chat.SQL, "op4_warc": warc.SQL, "op10_mixing": mixing.SQL}
