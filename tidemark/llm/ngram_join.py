@@ -4,19 +4,23 @@ Two documents link when their shingle sets' Jaccard similarity is 0.75 or more;
 result is the components of all links, with no link between different sets lost.
 
 1. Equal sets are one class, named by a 128-bit signature; only classes are compared.
-2. Shingles are dealt to buckets by hash, as packed blocks, and counted. A shingle that
-   only one class has cannot be shared: a class links with nothing unless three quarters
-   of its shingles are shared. Shingles of a large part of all documents (``HOT_SHARE``)
-   are recognised beforehand and dealt by document, so no bucket gathers one.
-3. The global order is by frequency, rarest first. Linked classes share a shingle among
-   the first ``n - ceil(3n/4) + 1`` of each (the prefix), so candidates share one there.
-4. Each class joins the group of one other with which it shares most of its prefix.
-   Groups are cut into blocks of ``BLOCK``; each block's ordered sets are stored in a
-   trie, and members probe it, leaving subtrees of their own class. Copies of one text
-   are united here without their pairs being made.
-5. Prefix shingles whose classes are in different components now give the remaining
-   candidate pairs, between components only; each class probes a trie of its candidates.
-   Pairs must pass the size and position bounds first.
+2. Linked classes share ``l = n // 10`` shingles of those with the smallest hashes, taking
+   ``n - ceil(3n/4) + l`` of each. These are dealt to buckets by hash and counted; a
+   class goes on only if that many of its own are shared with another class. Shingles
+   of a large part of all documents (``HOT_SHARE``) are recognised beforehand and dealt
+   by document, so no bucket gathers one.
+3. Of the classes left all shingles are counted in the same way. A class links with
+   nothing unless three quarters of its shingles are shared. The global order is by
+   frequency, rarest first. Linked classes share a shingle among the first ``n -
+   ceil(3n/4) + 1`` of each (the prefix), so candidates share one there.
+4. Each class follows the smallest class of most of its prefix shingles; classes so
+   connected are a family. Families are cut into blocks of ``BLOCK``, the class most
+   followed being in each. A block's ordered sets are stored in a trie, and members
+   probe it, leaving subtrees of their own component: copies of one text are united
+   without their pairs being made. Of a family of several blocks, sets outside its
+   largest component then probe the tries of all its blocks.
+5. Prefix shingles shared by different components of different families are what is left:
+   the classes of the smaller family probe the tries of the larger one's blocks.
 
 Defined results: NULL, empty or blank texts have no shingles and link with nothing. Texts
 of fewer than five words have one shingle, the whole sequence. Rows without doc_id are
@@ -35,9 +39,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buckets_for, kept, ready
+from tidemark.llm.common import broadcast_if_small, buckets_for, kept, ready
 from tidemark.llm.components import connected_components
-from tidemark.llm.settrie import Classes, SetTrie, similar
+from tidemark.llm.settrie import SetTrie
 from tidemark.llm.shingles import mix, shingle_sets
 
 #: Share of a batch's rows that makes a shingle hot. Fewer than (shingles a document) /
@@ -48,10 +52,11 @@ HOT_ROWS = 16
 #: Sets stored in one trie.
 BLOCK = 384
 #: Input bytes a bucket of shingles.
-BUCKET_BYTES = 8 << 20
-
-_KEY = np.dtype([("a", "<u8"), ("b", "<u8")])
-
+BUCKET_BYTES = 4 << 20
+#: Shingles handled at once by a task.
+CHUNK = 1_000_000
+#: Documents that may be broadcast by id; beyond, the join shuffles.
+MOST_BROADCAST = 2_000_000
 
 def _signature(shingles: np.ndarray) -> bytes:
     """128 bits that name a set."""
@@ -65,88 +70,90 @@ def _signature(shingles: np.ndarray) -> bytes:
     return sums.tobytes()
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The shingle sets of consecutive rows, about ``CHUNK`` shingles at a time."""
+    first, held, chunk = 0, 0, []
+    for shingles in shingle_sets(batch.column("text")):
+        chunk.append(shingles)
+        held += len(shingles)
+        if held >= CHUNK:
+            yield first, chunk
+            first, held, chunk = first + len(chunk), 0, []
+    if chunk:
+        yield first, chunk
+
+
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document, and a row per shingle hot in this batch."""
+    """A row per document, and a row per shingle hot in a chunk."""
     for batch in batches:
-        sizes, names, seen = [], [], []
-        for shingles in shingle_sets(batch.column("text")):
-            sizes.append(len(shingles))
-            names.append(_signature(shingles))
-            seen.append(shingles)
-        hot, counts = np.unique(np.concatenate(seen or [np.zeros(0, np.uint64)]), return_counts=True)
-        often = counts >= max(HOT_ROWS, HOT_SHARE * len(sizes))
-        hot, counts = hot[often], counts[often]
-        blank = [None] * len(hot)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(batch.column("doc_id").to_pylist() + blank, pa.int64()),
-                pa.array(sizes + blank, pa.int64()),
-                pa.array(names + blank, pa.binary()),
-                pa.array([None] * len(sizes) + hot.view(np.int64).tolist(), pa.int64()),
-                pa.array([None] * len(sizes) + counts.tolist(), pa.int64()),
-            ],
-            names=["doc_id", "n_shingles", "sig", "token", "rows"],
-        )
+        for first, sets in _chunks(batch):
+            hot, counts = np.unique(np.concatenate(sets), return_counts=True)
+            often = counts >= max(HOT_ROWS, HOT_SHARE * len(sets))
+            hot, counts = hot[often], counts[often]
+            blank, absent = [None] * len(hot), [None] * len(sets)
+            names = [_signature(s) for s in sets]
+            ids = batch.column("doc_id").slice(first, len(sets)).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids + blank, pa.int64()),
+                    pa.array([len(s) for s in sets] + blank, pa.int64()),
+                    pa.array(names + blank, pa.binary()),
+                    pa.array([int.from_bytes(n[:8], "little", signed=True) for n in names] + blank, pa.int64()),
+                    pa.array(absent + hot.view(np.int64).tolist(), pa.int64()),
+                    pa.array(absent + counts.tolist(), pa.int64()),
+                ],
+                names=["doc_id", "n_shingles", "sig", "key", "token", "rows"],
+            )
 
 
-_BLOCKS = "bucket int, hot boolean, keys binary, sizes binary, counts binary, tokens binary"
+def _least(n: int) -> int:
+    """Shingles that linked sets share among their ``_first``, if both have this size."""
+    return max(1, n // 10)
 
 
-def _dealt(hot: np.ndarray, buckets: int):
-    """Deals each batch's shingles to buckets: by shingle, or by document if hot."""
+def _first(n: int) -> int:
+    return min(n, n - -(-3 * n // 4) + _least(n))
+
+
+_DEALT = "bucket int, hot boolean, keys binary, tokens binary"
+
+
+def _dealt(hot: np.ndarray, buckets: int, whole: bool):
+    """Deals the shingles of each set, or its first ones, to buckets: by shingle, or by set
+    if hot. A set's key is the first half of its signature."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = {}
-            for shingles in shingle_sets(batch.column("text")):
-                if len(shingles):
-                    sets.setdefault(_signature(shingles), shingles)
+        for _, chunk in (c for batch in batches for c in _chunks(batch)):
+            sets = {_signature(s)[:8]: s if whole else s[: _first(len(s))] for s in chunk if len(s)}
             if not sets:
                 continue
-            keys = np.frombuffer(b"".join(sets), dtype=_KEY)
-            sizes = np.array([len(s) for s in sets.values()], dtype=np.uint32)
+            sizes = [len(s) for s in sets.values()]
+            keys = np.repeat(np.frombuffer(b"".join(sets), dtype="<u8"), sizes)
             tokens = np.concatenate(list(sets.values()))
-            owner = np.repeat(np.arange(len(keys), dtype=np.uint32), sizes)
             is_hot = np.isin(tokens, hot) if len(hot) else np.zeros(len(tokens), bool)
-            # by the high bits: a bucket is a range of hashes
-            by_token = ((tokens >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            by_owner = (mix(keys["a"]) % np.uint64(buckets))[owner]
-            rows = []
-            for flag in (False, True):
-                chosen = np.flatnonzero(is_hot == flag)
-                where = (by_owner if flag else by_token)[chosen].astype(np.int64)
-                order = np.argsort(where, kind="stable")  # keeps the order of documents
-                chosen, where = chosen[order], where[order]
-                cuts = np.flatnonzero(np.diff(where)) + 1
-                for part in np.split(chosen, cuts) if len(chosen) else ():
-                    who, counts = np.unique(owner[part], return_counts=True)
-                    bucket = int((by_owner if flag else by_token)[part[0]])
-                    rows.append(
-                        (
-                            bucket,
-                            flag,
-                            keys[who].tobytes(),
-                            sizes[who].tobytes(),
-                            counts.astype(np.uint32).tobytes(),
-                            _packed(tokens[part]),
-                        )
-                    )
+            where = np.where(is_hot, mix(keys) % np.uint64(buckets), _bucket(tokens, buckets)).astype(np.int64)
+            order = np.argsort(2 * where + is_hot, kind="stable")
+            rows = [
+                (int(where[part[0]]), bool(is_hot[part[0]]), keys[part].tobytes(), _packed(tokens[part]))
+                for part in np.split(order, np.flatnonzero(np.diff((2 * where + is_hot)[order])) + 1)
+            ]
+            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[k] for r in rows], kind)
-                    for k, kind in enumerate(
-                        (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-                    )
-                ],
-                names=["bucket", "hot", "keys", "sizes", "counts", "tokens"],
+                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+                names=["bucket", "hot", "keys", "tokens"],
             )
 
     return deal
 
 
+def _bucket(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """A mix of the shingle's hash, so that small hashes are dealt to all buckets."""
+    return mix(tokens) % np.uint64(buckets)
+
+
 def _packed(tokens: np.ndarray) -> bytes:
-    """The low six bytes of each token; within a bucket the rest hardly differs."""
-    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """Six bytes of a mix of each token; together with the bucket they tell it apart."""
+    return mix(tokens ^ np.uint64(0x94D049BB133111EB)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
 def _unpacked(block: bytes) -> np.ndarray:
@@ -155,86 +162,74 @@ def _unpacked(block: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u8").astype(np.uint64)
 
 
-_SHARED = "home int, keys binary, sizes binary, counts binary, tokens binary, rows binary"
+_SHARED = "home int, keys binary, tokens binary, rows binary"
 
 
-def _counted(hot: np.ndarray, hot_rows: np.ndarray, buckets: int):
-    """Of one bucket: the shingles more than one class has, with their frequency, dealt by class."""
+def _counted(hot: np.ndarray, hot_rows: np.ndarray, buckets: int, whole: bool):
+    """Of one bucket: the shingles more than one set has, with their frequency, dealt by
+    set; without ``whole`` only how many each set has of them."""
 
-    def count(key, frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    def count(key: tuple[int, ...], frame: pd.DataFrame) -> pd.DataFrame:
+        found = []
         for flag, part in frame.groupby("hot"):
-            keys = np.frombuffer(b"".join(part["keys"]), dtype=_KEY)
-            sizes = np.frombuffer(b"".join(part["sizes"]), dtype=np.uint32)
-            counts = np.frombuffer(b"".join(part["counts"]), dtype=np.uint32)
+            keys = np.frombuffer(b"".join(part["keys"]), dtype=np.uint64)
             tokens = _unpacked(b"".join(part["tokens"]))
-            # the same class from several batches: its shingles here are the same
-            _, first = np.unique(keys, return_index=True)
-            new = np.zeros(len(keys), bool)
-            new[first] = True
-            owner = np.repeat(np.arange(len(keys)), counts)
-            alive = new[owner]
-            owner, tokens = owner[alive], tokens[alive]
+            order = np.lexsort((keys, tokens))
+            keys, tokens = keys[order], tokens[order]
+            new = np.ones(len(keys), bool)  # a set that several chunks have counts once
+            new[1:] = (keys[1:] != keys[:-1]) | (tokens[1:] != tokens[:-1])
+            keys, tokens = keys[new], tokens[new]
             if flag:
-                low = np.frombuffer(_packed(hot), np.uint8).reshape(-1, 6)
-                low = _unpacked(low.tobytes())
-                order = np.argsort(low, kind="stable")
-                rows = hot_rows[order][np.searchsorted(low[order], tokens)]
+                known = _unpacked(_packed(hot))
+                place = np.argsort(known, kind="stable")
+                rows = hot_rows[place][np.searchsorted(known[place], tokens)]
                 tokens = tokens | np.uint64(1 << 63)
             else:
-                _, inverse, often = np.unique(tokens, return_inverse=True, return_counts=True)
-                rows = often[inverse]
+                starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+                times = np.diff(np.concatenate((starts, [len(tokens)])))
+                rows = np.repeat(times, times)
                 # unlike the tokens of other buckets
                 tokens = tokens | (np.uint64(key[0] & 0x7FFF) << np.uint64(48))
             shared = rows > 1
-            owner, tokens, rows = owner[shared], tokens[shared], rows[shared]
-            if len(owner) == 0:
-                continue
-            home = (mix(keys["a"]) % np.uint64(buckets)).astype(np.int64)[owner]
-            order = np.argsort(home, kind="stable")
-            for pick in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
-                who, n = np.unique(owner[pick], return_counts=True)
-                out.append(
-                    (
-                        int(home[pick[0]]),
-                        keys[who].tobytes(),
-                        sizes[who].tobytes(),
-                        n.astype(np.uint32).tobytes(),
-                        tokens[pick].tobytes(),
-                        rows[pick].astype(np.uint32).tobytes(),
-                    )
-                )
-        return pd.DataFrame(out, columns=["home", "keys", "sizes", "counts", "tokens", "rows"])
+            found.append((keys[shared], tokens[shared], rows[shared]))
+        keys, tokens, rows = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not whole:
+            keys, n = np.unique(keys, return_counts=True)
+            return pd.DataFrame({"key": keys.view(np.int64), "shared": n})
+        if len(keys) == 0:
+            return pd.DataFrame([], columns=["home", "keys", "tokens", "rows"])
+        home = (mix(keys) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        out = [
+            (
+                int(home[pick[0]]),
+                keys[pick].tobytes(),
+                tokens[pick].tobytes(),
+                rows[pick].astype(np.uint32).tobytes(),
+            )
+            for pick in np.split(order, np.flatnonzero(np.diff(home[order])) + 1)
+        ]
+        return pd.DataFrame(out, columns=["home", "keys", "tokens", "rows"])
 
     return count
 
 
-_SETS = "sig binary, n long, tokens binary, rows binary"
+_SETS = "key long, tokens binary, rows binary"
 
 
 def _gathered(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of the classes dealt to one home: those of which three quarters are shared, each
-    with its shared shingles in global order."""
-    keys = np.frombuffer(b"".join(frame["keys"]), dtype=_KEY)
-    sizes = np.frombuffer(b"".join(frame["sizes"]), dtype=np.uint32)
-    counts = np.frombuffer(b"".join(frame["counts"]), dtype=np.uint32)
+    """The shared shingles of each set dealt to one home, in global order."""
+    keys = np.frombuffer(b"".join(frame["keys"]), dtype=np.int64)
     tokens = np.frombuffer(b"".join(frame["tokens"]), dtype=np.uint64)
     rows = np.frombuffer(b"".join(frame["rows"]), dtype=np.uint32)
-    names, first, who = np.unique(keys, return_index=True, return_inverse=True)
-    size = sizes[first].astype(np.int64)
-    owner = np.repeat(who, counts)
-    have = np.bincount(owner, minlength=len(names))
-    alive = (4 * have >= 3 * size)[owner]
-    owner, tokens, rows = owner[alive], tokens[alive], rows[alive]
-    order = np.lexsort((tokens, rows, owner))
-    owner, tokens, rows = owner[order], tokens[order], rows[order]
-    out = []
-    if len(owner):
-        edges = np.concatenate(([0], np.flatnonzero(np.diff(owner)) + 1, [len(owner)]))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            k = owner[a]
-            out.append((names[k].tobytes(), int(size[k]), tokens[a:b].tobytes(), rows[a:b].tobytes()))
-    return pd.DataFrame(out, columns=["sig", "n", "tokens", "rows"])
+    order = np.lexsort((tokens, rows, keys))
+    keys, tokens, rows = keys[order], tokens[order], rows[order]
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]))
+    out = [
+        (int(keys[a]), tokens[a:b].tobytes(), rows[a:b].tobytes())
+        for a, b in zip(edges[:-1], edges[1:], strict=True)
+    ]
+    return pd.DataFrame(out, columns=["key", "tokens", "rows"])
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,35 +274,37 @@ def _ranked(frame: pd.DataFrame) -> list[np.ndarray]:
 def _within_block(frame: pd.DataFrame) -> pd.DataFrame:
     """Links that connect the sets of one block as all its links do."""
     frame = frame.drop_duplicates("sig").sort_values("sig").reset_index(drop=True)
-    sets, sigs = _ranked(frame), frame["sig"].tolist()
-    classes = Classes(len(frame))
-    trie = SetTrie(1 + max((int(s[-1]) for s in sets if len(s)), default=0), frame["n"], classes)
-    links = []
-    for k, tokens in enumerate(sets):
-        links += [(sigs[k], sigs[m]) for m in trie.probe(tokens, int(frame["n"][k]), own=k)]
-        trie.insert(k, tokens)
-    return pd.DataFrame(links, columns=["a", "b"])
+    everyone = list(range(len(frame)))
+    return _united(frame, np.arange(len(frame)), everyone, everyone)
+
 
+def _across_blocks(frame: pd.DataFrame) -> pd.DataFrame:
+    """The same for some sets (``probe``) with those of a block, components being known."""
+    frame = frame.sort_values(["probe", "sig"]).reset_index(drop=True)
+    probe = frame["probe"].to_numpy()
+    classes = np.unique(frame["root"], return_inverse=True)[1]
+    return _united(frame, classes, np.flatnonzero(~probe).tolist(), np.flatnonzero(probe).tolist())
 
-def _against_candidates(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links of one set (``probe``) with its candidates."""
-    frame = frame.reset_index(drop=True)
-    sets, sigs = _ranked(frame), frame["sig"].tolist()
-    trie = SetTrie(1 + max((int(s[-1]) for s in sets if len(s)), default=0), frame["n"])
-    probes = [k for k in range(len(frame)) if frame["probe"][k]]
-    for k in range(len(frame)):
-        if not frame["probe"][k]:
-            trie.insert(k, sets[k])
-    links = [(sigs[k], sigs[m]) for k in probes for m in trie.probe(sets[k], int(frame["n"][k]))]
+
+def _united(frame: pd.DataFrame, classes: np.ndarray, stored: list[int], probes: list[int]) -> pd.DataFrame:
+    sets, sigs, sizes = _ranked(frame), frame["sig"].tolist(), frame["n"].to_numpy()
+    trie = SetTrie(stored, sets, sizes, _universe(sets))
+    links = [
+        (sigs[k], sigs[m]) for k in probes for m in trie.probe(sets[k], int(sizes[k]), classes, k)
+    ]
     return pd.DataFrame(links, columns=["a", "b"])
 
 
+def _universe(sets: list[np.ndarray]) -> int:
+    return 1 + max((int(s[-1]) for s in sets if len(s)), default=0)
+
+
 def similar_components(documents: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``documents(doc_id, text)``."""
     texts = ready(documents).where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     summaries = kept(
         texts.mapInArrow(
-            _summaries, "doc_id long, n_shingles long, sig binary, token long, rows long"
+            _summaries, "doc_id long, n_shingles long, sig binary, key long, token long, rows long"
         )
     )
     rows = summaries.where("token IS NULL").select("doc_id", "n_shingles", "sig")
@@ -343,81 +340,161 @@ def representatives(documents: DataFrame) -> DataFrame:
 def _shared_sets(texts: DataFrame, summaries: DataFrame) -> DataFrame:
     """Classes of which three quarters of the shingles are shared: sig, n, and the shared
     shingles in global order with their frequencies."""
-    buckets = min(buckets_for(texts, BUCKET_BYTES), 1 << 15)
     found = (  # bounded, see HOT_SHARE
         summaries.where("token IS NOT NULL").groupBy("token").agg(F.sum("rows").alias("rows")).collect()
     )
     hot = np.array(sorted((r["token"], r["rows"]) for r in found), dtype=np.int64).reshape(-1, 2)
-    hot_tokens, hot_rows = hot[:, 0].astype(np.int64).view(np.uint64), hot[:, 1]
-    shared = (
-        texts.mapInArrow(_dealt(hot_tokens, buckets), _BLOCKS)
-        .repartition(buckets, "bucket")
-        .groupBy("bucket")
-        .applyInPandas(_counted(hot_tokens, hot_rows, buckets), _SHARED)
+    hot, hot_rows = hot[:, 0].copy().view(np.uint64), hot[:, 1]
+    classes = (
+        summaries.where("token IS NULL AND n_shingles > 0")
+        .groupBy("sig")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("key").alias("key"))
+    )
+
+    def counted(rows: DataFrame, buckets: int, whole: bool, schema: str) -> DataFrame:
+        return (
+            rows.mapInArrow(_dealt(hot, buckets, whole), _DEALT)
+            .repartition(buckets, "bucket")
+            .groupBy("bucket")
+            .applyInPandas(_counted(hot, hot_rows, buckets, whole), schema)
+        )
+
+    buckets = min(buckets_for(texts, BUCKET_BYTES), 1 << 15)
+    shared = counted(texts, buckets, False, "key long, shared long")
+    smaller = F.ceil(3 * F.col("n") / 4)  # the smallest size of a linked class
+    left = kept(
+        shared.groupBy("key")
+        .agg(F.sum("shared").alias("shared"))
+        .join(classes, "key")
+        .where(F.col("shared") >= F.greatest(F.lit(1), F.floor(smaller / 10)))
+        .select("key", "sig", "n", "doc_id")
+    )
+    chosen = broadcast_if_small(left.select("doc_id").distinct(), left.count(), MOST_BROADCAST)
+    whole = (
+        counted(texts.join(chosen, "doc_id", "left_semi"), buckets, True, _SHARED)
+        .groupBy("home")
+        .applyInPandas(_gathered, _SETS)
+    )
+    return whole.join(left, "key").where(F.octet_length("tokens") / 8 >= 0.75 * F.col("n")).select(
+        "sig", "n", "tokens", "rows"
     )
-    return shared.groupBy("home").applyInPandas(_gathered, _SETS)
 
 
 def _links(sets: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between signatures, with the same components as all links."""
     index = kept(sets.mapInArrow(_prefixes, "token long, sig binary, n long, place long"))
 
-    # Each class joins the smallest class of most of its prefix shingles.
+    # Each class follows the smallest class of most of its prefix shingles.
     hubs = index.groupBy("token").agg(F.min("sig").alias("hub"), F.count("*").alias("m")).where("m > 1")
-    chosen = (
+    followed = kept(
         index.join(hubs, "token")
         .groupBy("sig", "hub")
         .count()
         .groupBy("sig")
         .agg(F.max_by("hub", F.struct("count", F.col("hub"))).alias("hub"))
     )
-    groups = chosen.groupBy("hub").agg(F.count("*").alias("m")).withColumn(
-        "blocks", F.ceil(F.col("m") / BLOCK)
-    )
-    placed = chosen.join(groups, "hub").select(
-        "sig", "hub", F.pmod(F.xxhash64("sig"), "blocks").alias("block")
-    )
-    # the hub itself is in each of its group's blocks
-    placed = placed.union(
-        groups.select(
-            F.col("hub").alias("sig"), "hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    families = connected_components(followed.select(F.col("sig").alias("a"), F.col("hub").alias("b")))
+    families = kept(
+        followed.join(families.withColumnRenamed("node", "sig"), "sig", "left").select(
+            "sig", "hub", F.coalesce("root", "sig").alias("family")
         )
-    ).distinct()
-    first = kept(
-        sets.join(placed, "sig").groupBy("hub", "block").applyInPandas(
-            lambda frame: _within_block(frame), "a binary, b binary"
+    )
+    most_followed = (
+        families.groupBy("family", "hub")
+        .count()
+        .groupBy("family")
+        .agg(
+            F.max_by("hub", F.struct("count", F.col("hub"))).alias("centre"),
+            F.ceil(F.sum("count") / BLOCK).alias("blocks"),
         )
     )
+    members = families.join(most_followed, "family").select(
+        "sig", "family", "blocks", F.pmod(F.xxhash64("sig"), "blocks").alias("block")
+    )
+    centres = most_followed.select(
+        F.col("centre").alias("sig"),
+        "family",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+    )
+    placed = members.select("sig", "family", "block").union(centres)
+    within = kept(
+        sets.join(placed, "sig").groupBy("family", "block").applyInPandas(_within_block, "a binary, b binary")
+    )
+    first = kept(within.union(_between_blocks(sets, members, within)))
 
     roots = connected_components(first).withColumnRenamed("node", "sig")
-    placed_index = index.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    open_tokens = placed_index.groupBy("token").agg(
-        F.min("root").alias("least"), F.max("root").alias("most")
-    ).where("least <> most").select("token")
-    left = kept(placed_index.join(open_tokens, "token"))
-    other = left.select("token", *(F.col(c).alias(f"other_{c}") for c in ("sig", "n", "place", "root")))
-    total = F.col("n") + F.col("other_n")
-    # position bound: what both have from this shingle on, and no more than is before it
-    rest = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
-    before = F.least("place", "other_place")
-    pairs = (
-        left.join(other, "token")
-        .where("root < other_root")
-        .where((4 * F.col("n") >= 3 * F.col("other_n")) & (4 * F.col("other_n") >= 3 * F.col("n")))
-        .where(7 * (rest + before) >= 3 * total)
-        .select("sig", "other_sig")
+    placed_index = (
+        index.join(roots, "sig", "left")
+        .join(members.select("sig", "family"), "sig", "left")
+        .withColumn("root", F.coalesce("root", "sig"))
+        .withColumn("family", F.coalesce("family", "sig"))
+    )
+    open_tokens = (
+        placed_index.groupBy("token")
+        .agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("root", "family")))
+        .where("min_root <> max_root AND min_family <> max_family")
+        .select("token")
+    )
+    sizes = members.groupBy("family").agg(F.count("*").alias("size"))
+    left = kept(
+        placed_index.join(open_tokens, "token").join(sizes, "family").select("token", "sig", "root", "family", "size")
+    )
+    hosts = left.select("token", F.col("family").alias("host"), F.col("size").alias("host_size")).distinct()
+    probes = (
+        left.join(hosts, "token")
+        .where(F.struct("host_size", "host") > F.struct("size", "family"))
+        .select("sig", "root", F.col("host").alias("family"))
         .distinct()
     )
-    pairs = kept(pairs.withColumn("block", F.pmod(F.xxhash64("other_sig"), F.lit(64))))
-    probes = pairs.select("sig", "block").distinct().select(
-        "sig", F.col("sig").alias("probe_sig"), "block", F.lit(True).alias("probe")
+    return first.union(_probed(sets, members, first, kept(probes)))
+
+
+def _between_blocks(sets: DataFrame, members: DataFrame, within: DataFrame) -> DataFrame:
+    """Links across the blocks of families that have several: sets outside the family's
+    largest component probe all blocks."""
+    split = kept(members.where("blocks > 1"))
+    if not split.take(1):
+        return within.limit(0)
+    split = kept(_rooted(split, within))
+    largest = (
+        split.groupBy("family", "root")
+        .count()
+        .groupBy("family")
+        .agg(F.max_by("root", F.struct("count", F.col("root"))).alias("largest"))
+    )
+    probes = split.join(largest, "family").where("root <> largest").select("sig", "root", "family")
+    return _probed(sets, members, within, kept(probes))
+
+
+def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
+    roots = connected_components(links).withColumnRenamed("node", "sig")
+    return members.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+
+
+def _probed(sets: DataFrame, members: DataFrame, links: DataFrame, probes: DataFrame) -> DataFrame:
+    """Links of ``probes(sig, root, family)`` with the sets of the families' blocks, in chunks
+    of probes; sets already in one component need none."""
+    chunks = kept(probes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("chunks")))
+    hosts = kept(_rooted(members.join(chunks, "family"), links))
+    stored = hosts.select(
+        "sig",
+        "root",
+        "family",
+        "block",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
+        F.lit(False).alias("probe"),
     )
-    stored = pairs.select(
-        F.col("other_sig").alias("sig"), F.col("sig").alias("probe_sig"), "block", F.lit(False).alias("probe")
+    blocks = hosts.select("family", "blocks", "chunks").distinct()
+    probing = probes.join(blocks, "family").select(
+        "sig",
+        "root",
+        "family",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64(F.lit(1), F.col("sig")), "chunks").alias("chunk"),
+        F.lit(True).alias("probe"),
     )
-    second = (
-        sets.join(probes.union(stored), "sig")
-        .groupBy("probe_sig", "block")
-        .applyInPandas(lambda frame: _against_candidates(frame), "a binary, b binary")
+    return (
+        sets.join(stored.union(probing), "sig")
+        .groupBy("family", "block", "chunk")
+        .applyInPandas(_across_blocks, "a binary, b binary")
     )
-    return first.union(second)

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 SHINGLE = 5
 #: Bytes of text handled at once; a longer text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
