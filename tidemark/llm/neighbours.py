@@ -35,7 +35,7 @@ MOST_LISTS = 4096
 PROBED = 0.7
 LEAST_PROBED = 8
 COLUMNS = 16
-EPSILON = 3.0
+EPSILON = 2.1
 #: Candidates scored in full to start the bound of a block.
 SEED = 64
 BLOCK = 2048
