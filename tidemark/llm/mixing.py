@@ -19,13 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept, word_count
+from tidemark.llm.common import broadcast_if_small, kept, word_count
 
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (5, 2, 1)
 #: The mix's size as a share of all words.
 SHARE = 1.5
 MOST_EPOCHS = 2
+#: Sources whose shares may be broadcast; beyond, the join shuffles.
+MOST_BROADCAST = 100_000
 #: Marks that clean prose hardly has.
 JUNK = "%*#$&|!"
 LEAST_QUALITY = 0.05
@@ -33,7 +35,7 @@ LEAST_QUALITY = 0.05
 
 def quality_weight(text: Column) -> Column:
     """The share of characters that are none of ``JUNK``."""
-    clean = F.length(F.translate(text, JUNK, "")) / F.length(text)
+    clean = F.try_divide(F.length(F.translate(text, JUNK, "")), F.length(text))
     return F.greatest(F.lit(LEAST_QUALITY), F.coalesce(clean, F.lit(0.0)))
 
 
@@ -92,7 +94,8 @@ def mixed_sizes(documents: DataFrame) -> DataFrame:
 
 
 def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    plan = plan.withColumnRenamed("source", "plan_source")
+    plan = kept(plan.withColumnRenamed("source", "plan_source"))
+    plan = broadcast_if_small(plan, plan.count(), MOST_BROADCAST)
     return (
         rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source")), "left")
         .withColumn(
