@@ -40,7 +40,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 IDENTIFIER = r"[A-Za-z0-9_-]{8,}"
 SAMPLE_DOCUMENTS = 2000
 #: Mean log-likelihood ratio per transition, in nats, from which a run is random.
-LEAST_RATIO = 0.5
+LEAST_RATIO = 0.0
 MASK = "[SECRET]"
 
 _SIZE = len(ALPHABET) + 1  # place 0 is any other character
@@ -82,11 +82,14 @@ def _class(character: Column) -> Column:
 
 def train(documents: DataFrame) -> list[float]:
     """The log-likelihood ratio of each transition, random over ordinary."""
-    sample = (
-        documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    chosen = (
+        documents.where("doc_id IS NOT NULL")
+        .select("doc_id")
+        .distinct()
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(SAMPLE_DOCUMENTS)
     )
+    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     ordinary = (
         sample.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("token"))
         .where(~F.col("token").rlike(HEX) & ~F.col("token").rlike(ACCESS) & ~F.col("token").rlike("[0-9]{6,}"))
