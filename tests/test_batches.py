@@ -20,7 +20,7 @@ from tidemark.plans.batch import (
     read_audit,
 )
 from tidemark.plans.layers import REFRESH, run_batch
-from tidemark.sources.readers import snapshot, table_exists
+from tidemark.sources.readers import ColumnTypeError, snapshot, table_exists
 from tidemark.sources.writers import insert
 from tidemark.spec import COMMIT_COL, Lake
 from tidemark.streaming.arrivals import CADENCE, run_stream
@@ -88,9 +88,10 @@ def test_marks_do_not_depend_on_the_session_zone(spark, zone):
 def test_windows_follow_the_mark(spark, folder):
     lake = Lake(folder)
     _arrive(spark, lake, 1, _event(1))
-    assert next_window(spark, lake, START).begin_us == 0
+    assert next_window(spark, lake, START) is None  # not committed yet
+    assert next_window(spark, lake, START + timedelta(minutes=5)).begin_us == 0
     run_batch(spark, lake, as_of=START + timedelta(minutes=5))
-    assert from_micros(high_water_mark(spark, lake)) == START + timedelta(minutes=5)
+    assert from_micros(high_water_mark(spark, lake)) == START + timedelta(minutes=1)
     # The next run starts late; what arrived meanwhile is not lost.
     _arrive(spark, lake, 6, _event(2))
     _arrive(spark, lake, 13, _event(3))
@@ -130,6 +131,8 @@ def test_audit_row(spark, folder):
     assert row == {
         "begin_us": window.begin_us,
         "end_us": window.end_us,
+        "commit_us": window.end_us,
+        "mark_us": 0,  # the window left a gap before it
         "bronze_record_count": 4,
         "silver_record_count": 4,
         "silver_slice_count": 2,  # one older version, one row without a key
@@ -182,6 +185,90 @@ def test_slice_replaces_and_refresh_recomputes(spark, folder):
         run_batch(spark, lake, as_of=START + timedelta(minutes=20), gold_mode="guess")
 
 
+@pytest.mark.parametrize("mode", ["slice", REFRESH])
+def test_many_partitions_give_what_few_give(spark, folder, mode):
+    """Groups, marks and counts do not depend on how partitions are matched."""
+    results = []
+    for cap in (1000, 2):
+        lake = Lake(f"{folder}/{mode}-{cap}")
+        _arrive(spark, lake, 1, *(_event(d, day=d) for d in range(1, 7)), _event(50, day=20))
+        _arrive(spark, lake, 6, *(_event(10 + d, day=d, amount="5") for d in range(1, 4)), _event(51, day=20))
+        counts = [
+            run_batch(
+                spark, lake, as_of=START + timedelta(minutes=m), gold_mode=mode, max_literal_partitions=cap
+            )
+            for m in (5, 10)
+        ]
+        rows = _stored(spark, lake, lake.gold_table("by_category")).drop("processed_at")
+        results.append((counts, sorted(map(repr, rows.collect()))))
+    assert results[0] == results[1]
+
+
+def test_commits_visible_late_and_gaps_are_read(spark, folder):
+    lake = Lake(folder)
+    _arrive(spark, lake, 1, _event(1))
+    run_batch(spark, lake, as_of=START + timedelta(minutes=10))
+    _arrive(spark, lake, 5, _event(2))  # in flight at the tick, with an earlier mark
+    assert run_batch(spark, lake, as_of=START + timedelta(minutes=15)).bronze_record_count == 1
+    _arrive(spark, lake, 20, _event(3))
+    _arrive(spark, lake, 30, _event(4))
+    ahead = BatchWindow.between(START + timedelta(minutes=25), START + timedelta(minutes=35))
+    run_batch(spark, lake, ahead)
+    assert run_batch(spark, lake, as_of=START + timedelta(minutes=40)).bronze_record_count == 2
+    assert _totals(spark, lake)["A_2024-01-01"] == 20.0
+    assert _stored(spark, lake, "silver_events").count() == 4
+
+
+def test_older_window_is_committed_after_the_last(spark, folder):
+    lake = Lake(folder)
+    _arrive(spark, lake, 1, _event(1))
+    _arrive(spark, lake, 6, _event(2))
+    windows = [BatchWindow.between(START + timedelta(minutes=m), START + timedelta(minutes=m + 5)) for m in (0, 5, 0)]
+    marks = []
+    for window in windows:
+        run_batch(spark, lake, window)
+        rows = _stored(spark, lake, lake.gold_table("by_category"))
+        marks.append(rows.agg(F.max(COMMIT_COL)).first()[0])
+    assert marks == sorted(marks) and marks[2] == marks[1] + 1
+
+
+def test_gold_takes_the_last_batch_whatever_its_time(spark, folder):
+    lake = Lake(folder)
+    _arrive(spark, lake, 1, _event(1))
+    _arrive(spark, lake, 6, _event(2, amount="7"))
+    windows = [BatchWindow.between(START + timedelta(minutes=m), START + timedelta(minutes=m + 5)) for m in (0, 5)]
+    for window, as_of in zip(windows, (START + timedelta(days=1), START), strict=True):
+        run_batch(spark, lake, window, as_of=as_of)
+    assert _totals(spark, lake) == {"A_2024-01-01": 7.0}
+
+
+def test_new_bronze_columns_reach_silver(spark, folder):
+    lake = Lake(folder)
+    _arrive(spark, lake, 1, _event(1))
+    wider = spark.createDataFrame([(*_event(2, day=2), "more")], BRONZE + ", extra string")
+    mark = to_micros(START + timedelta(minutes=2))
+    insert(wider, lake.path(lake.bronze_table), lake.spec(lake.bronze_table), mark)
+    run_batch(spark, lake, as_of=START + timedelta(minutes=5))
+    assert {r.id: r.extra for r in _stored(spark, lake, "silver_events").collect()} == {1: None, 2: "more"}
+
+
+def test_text_discounts_do_not_stop_a_batch(spark):
+    from tidemark.operators.silver import discount_amount
+
+    rows = spark.createDataFrame([(10.0, "0.5"), (10.0, "n/a"), (10.0, None)], "amount double, pct string")
+    found = rows.select(discount_amount(F.col("amount"), F.col("pct")).alias("d")).collect()
+    assert [r.d for r in found] == [5.0, None, 0.0]
+
+
+def test_inserting_another_type_is_refused(spark, folder):
+    lake = Lake(folder)
+    _arrive(spark, lake, 1, _event(1))
+    other = spark.createDataFrame([_event(2)], BRONZE).withColumn("amount", F.lit(1.0))
+    with pytest.raises(ColumnTypeError):
+        insert(other, lake.path(lake.bronze_table), lake.spec(lake.bronze_table), 5)
+    assert _stored(spark, lake, lake.bronze_table).collect()[0].amount == "10"
+
+
 def test_refresh_drops_groups_that_emptied(spark, folder):
     lake = Lake(folder)
     _arrive(spark, lake, 1, _event(1, hour=7), _event(2, hour=9))

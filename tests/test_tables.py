@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.merge import COMMIT_TIME, EVENT_TIME
 from tidemark.sources import writers
-from tidemark.sources.partitions import Partitions
+from tidemark.sources.partitions import Partitions, PartitionSpan
 from tidemark.sources.readers import (
     ColumnTypeError,
     incremental,
@@ -234,7 +234,7 @@ def test_random_batches_against_a_dictionary(spark, folder, merge_order, literal
             frame, folder, SPEC, mark, merge_order=merge_order, max_literal_partitions=literal_partitions
         )
         assert report.rows == len(batch)
-        assert (report.partitions is None) == (literal_partitions == 3)
+        assert isinstance(report.partitions, PartitionSpan) == (literal_partitions == 3)
     assert _stored(spark, folder) == sorted(model.values(), key=repr)
 
 

@@ -29,8 +29,8 @@ def has_customer_id(customer_id: Column) -> Column:
 
 
 def discount_amount(amount: Column, discount_pct: Column) -> Column:
-    """Zero without a discount; NULL if the discount applies to no amount."""
-    return F.when(discount_pct.isNull(), F.lit(0.0)).otherwise(amount * discount_pct)
+    """Zero without a discount; NULL if the discount applies to no amount or does not parse."""
+    return F.when(discount_pct.isNull(), F.lit(0.0)).otherwise(amount * lenient_double(discount_pct))
 
 
 def to_silver(bronze: DataFrame, as_of: datetime | None = None) -> DataFrame:

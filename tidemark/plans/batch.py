@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.marks import as_utc, from_micros, micros_to_wall, to_micros
 from tidemark.sources.readers import read_table
-from tidemark.spec import Lake, TableSpec
+from tidemark.spec import COMMIT_COL, Lake, TableSpec
 
 
 @dataclass(frozen=True)
@@ -78,6 +78,8 @@ AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("begin_us", T.LongType()),
         T.StructField("end_us", T.LongType()),
+        T.StructField("commit_us", T.LongType()),
+        T.StructField("mark_us", T.LongType()),
         *[T.StructField(f.name, T.LongType()) for f in fields(BatchCounts)],
         T.StructField("stream_id", T.StringType()),
         T.StructField("epoch_id", T.LongType()),
@@ -105,13 +107,18 @@ def append_audit(
     counts: BatchCounts,
     processing_seconds: float,
     epoch: tuple[str, int] | None = None,
+    commit_us: int | None = None,
+    mark_us: int | None = None,
 ) -> None:
-    """Record a finished batch, with the stream and epoch it came from if any.
-    Written last: a batch that fails before this is
+    """Record a finished batch, with the stream and epoch it came from if any, the mark
+    its rows were committed with and the high-water mark after it, by default both the
+    window's end. Written last: a batch that fails before this is
     read again by the next run."""
     values = {
         "begin_us": window.begin_us,
         "end_us": window.end_us,
+        "commit_us": window.end_us if commit_us is None else commit_us,
+        "mark_us": window.end_us if mark_us is None else mark_us,
         **asdict(counts),
         "stream_id": epoch[0] if epoch else None,
         "epoch_id": epoch[1] if epoch else None,
@@ -151,16 +158,31 @@ def _newest(spark: SparkSession, lake: Lake, column: str, where: Column | None =
 
 
 def high_water_mark(spark: SparkSession, lake: Lake) -> int | None:
-    """End of the last finished batch."""
-    return _newest(spark, lake, "end_us")
+    """Up to where finished windows cover all commits without a gap."""
+    return _newest(spark, lake, "mark_us")
+
+
+def last_commit(spark: SparkSession, lake: Lake) -> int | None:
+    """The greatest mark that a finished batch committed rows with."""
+    return _newest(spark, lake, "commit_us")
 
 
 def next_window(spark: SparkSession, lake: Lake, now: datetime | None = None) -> BatchWindow | None:
-    """Everything committed since the last finished batch, so that windows tile
-    without gap or overlap. None if the mark has not moved."""
+    """Every commit visible in bronze since the last finished batch, so that windows tile
+    without gap or overlap. It ends at the greatest of these, not at the present: a
+    commit that becomes visible later with a greater mark, as those of one writer do, is
+    in the next window. None if there is none."""
     begin = high_water_mark(spark, lake) or 0
-    end = to_micros(now or datetime.now(timezone.utc))
-    return BatchWindow(begin, end) if end > begin else None
+    spec = TableSpec(
+        lake.spec(lake.bronze_table).partition_fields,
+        schema=T.StructType([T.StructField(COMMIT_COL, T.LongType())]),
+    )
+    marks = read_table(spark, lake.path(lake.bronze_table), spec)
+    if marks is None:
+        return None
+    new = (F.col(COMMIT_COL) > begin) & (F.col(COMMIT_COL) <= to_micros(now or datetime.now(timezone.utc)))
+    end = marks.where(new).agg(F.max(COMMIT_COL)).first()[0]
+    return None if end is None else BatchWindow(begin, end)
 
 
 def epoch_finished(spark: SparkSession, lake: Lake, stream_id: str, epoch_id: int) -> bool:

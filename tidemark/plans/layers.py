@@ -13,10 +13,17 @@ from pyspark.util import inheritable_thread_target
 
 from tidemark.functions.marks import as_utc
 from tidemark.operators import gold
-from tidemark.operators.merge import EVENT_TIME
+from tidemark.operators.merge import COMMIT_TIME, EVENT_TIME
 from tidemark.operators.silver import to_silver
-from tidemark.plans.batch import BatchCounts, BatchWindow, append_audit, next_window
-from tidemark.sources.partitions import partitions_of
+from tidemark.plans.batch import (
+    BatchCounts,
+    BatchWindow,
+    append_audit,
+    high_water_mark,
+    last_commit,
+    next_window,
+)
+from tidemark.sources.partitions import MAX_LITERAL_PARTITIONS, in_partitions_of, partitions_of
 from tidemark.sources.readers import incremental, snapshot
 from tidemark.sources.writers import UpsertReport, replace_partitions, stamped, upsert
 from tidemark.spec import Lake
@@ -37,17 +44,21 @@ def process(
     as_of: datetime | None = None,
     gold_mode: str = SLICE,
     merge_order: str = EVENT_TIME,
+    commit_us: int | None = None,
+    max_literal_partitions: int = MAX_LITERAL_PARTITIONS,
 ) -> BatchCounts:
     """Run the bronze rows of one batch through silver and gold.
 
-    Silver rows are committed at the window's end, and gold reads exactly the
-    rows that commit wrote. ``gold_mode="slice"`` upserts aggregates of the batch
+    Silver and gold rows are committed as ``commit_us``, by default the window's end, and
+    gold reads exactly the silver rows that commit wrote. ``merge_order`` is silver's;
+    in gold the last batch always wins. ``gold_mode="slice"`` upserts aggregates of the batch
     alone, so the latest batch to touch a group replaces its row; ``"refresh"``
     recomputes the days the batch touches from all of silver.
     """
     if gold_mode not in (SLICE, REFRESH):
         raise ValueError(f"unknown gold mode {gold_mode!r}")
     as_of = as_utc(as_of or datetime.now(timezone.utc))
+    commit_us = window.end_us if commit_us is None else commit_us
     silver_path, silver_spec = lake.path(lake.silver_table), lake.spec(lake.silver_table)
 
     silver_rows = to_silver(bronze, as_of)
@@ -55,9 +66,10 @@ def process(
         silver_rows,
         silver_path,
         silver_spec,
-        window.end_us,
+        commit_us,
         merge_order=merge_order,
         on_null_key="reject",
+        max_literal_partitions=max_literal_partitions,
     )
     sent = silver.rows + silver.rejected  # silver keeps every bronze row
     counts = {
@@ -69,18 +81,21 @@ def process(
         return BatchCounts(**counts)
 
     # The columns are known, so no file has to be opened to learn them.
-    stored = replace(silver_spec, schema=stamped(silver_rows, window.end_us).schema)
+    stored = replace(silver_spec, schema=stamped(silver_rows, commit_us).schema)
     # Not cached: each use reads a few columns of the row groups this commit wrote,
     # which is cheaper than building the cache.
     silver_slice = incremental(
-        spark, silver_path, stored, window.begin_us, window.end_us, silver.partitions
+        spark, silver_path, stored, commit_us - 1, commit_us, silver.partitions
     )
     counts["silver_slice_count"] = silver_slice.count()
     if counts["silver_slice_count"] == 0:
         return BatchCounts(**counts)
     source = silver_slice
     if gold_mode == REFRESH:
-        source = snapshot(spark, silver_path, stored, partitions_of(silver_slice, GOLD_DAY))
+        days = partitions_of(silver_slice, GOLD_DAY, max_literal_partitions)
+        source = snapshot(spark, silver_path, stored, days or silver.partitions)
+        if days is None:  # too many to list: the same days by a join
+            source = in_partitions_of(source, silver_slice, GOLD_DAY)
     tables = gold.aggregations(source, window.batch_id, as_of)
 
     def write(name: str) -> UpsertReport:
@@ -89,8 +104,8 @@ def process(
         groups = tables[name].persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if gold_mode == REFRESH:
-                return replace_partitions(groups, path, spec, window.end_us, **common)
-            return upsert(groups, path, spec, window.end_us, merge_order=merge_order, **common)
+                return replace_partitions(groups, path, spec, commit_us, **common)
+            return upsert(groups, path, spec, commit_us, merge_order=COMMIT_TIME, **common)
         finally:
             groups.unpersist()
 
@@ -117,9 +132,17 @@ def run_batch(
     as_of: datetime | None = None,
     gold_mode: str = SLICE,
     merge_order: str = EVENT_TIME,
+    max_literal_partitions: int = MAX_LITERAL_PARTITIONS,
 ) -> BatchCounts | None:
     """Process the bronze commits of ``window``, or everything since the last
-    finished batch, and record the batch. None if there is no time to cover."""
+    finished batch, and record the batch. None if there is nothing to cover.
+
+    A window older than the last commit is a backfill: its rows are committed just after
+    that, so that marks never decrease. A window that begins after the high-water mark
+    leaves the mark where it is, so that what lies between is still read.
+    """
+    if gold_mode not in (SLICE, REFRESH):
+        raise ValueError(f"unknown gold mode {gold_mode!r}")
     started = time.monotonic()
     window = window or next_window(spark, lake, as_of)
     if window is None:
@@ -127,8 +150,26 @@ def run_batch(
     bronze = incremental(
         spark, lake.path(lake.bronze_table), lake.spec(lake.bronze_table), window.begin_us, window.end_us
     )
+    last, mark = last_commit(spark, lake) or 0, high_water_mark(spark, lake) or 0
+    commit_us = window.end_us if window.end_us >= last else last + 1
     counts = process(
-        spark, lake, bronze, window, as_of=as_of, gold_mode=gold_mode, merge_order=merge_order
+        spark,
+        lake,
+        bronze,
+        window,
+        as_of=as_of,
+        gold_mode=gold_mode,
+        merge_order=merge_order,
+        commit_us=commit_us,
+        max_literal_partitions=max_literal_partitions,
+    )
+    append_audit(
+        spark,
+        lake,
+        window,
+        counts,
+        time.monotonic() - started,
+        commit_us=commit_us,
+        mark_us=max(mark, window.end_us) if window.begin_us <= mark else mark,
     )
-    append_audit(spark, lake, window, counts, time.monotonic() - started)
     return counts

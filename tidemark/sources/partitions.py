@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Beyond this many partitions a batch is matched by a join instead of literals.
+# Beyond this many partitions a batch is matched by a join, and pruned by its span.
 MAX_LITERAL_PARTITIONS = 1000
 
 # Directory name Spark gives a NULL partition value.
@@ -46,6 +46,26 @@ class Partitions:
         return f"{path}/{self.fields[0]}={{{','.join(names)}}}"
 
 
+@dataclass(frozen=True)
+class PartitionSpan:
+    """Bounds of the first partition field, for batches of too many partitions to list.
+    It prunes, but holds partitions between the bounds that the batch does not touch."""
+
+    field: str
+    least: object
+    most: object
+    nulls: bool
+
+    def predicate(self) -> Column:
+        conditions = [F.col(self.field).isNull()] if self.nulls else []
+        if self.least is not None:
+            conditions.append(F.col(self.field).between(self.least, self.most))
+        return _any(conditions)
+
+    def directories(self, path: str) -> str:
+        return path
+
+
 def _one_of(name: str, values: Sequence) -> Column:
     present = [v for v in values if v is not None]
     conditions = [F.col(name).isin(present)] if present else []
@@ -96,3 +116,10 @@ def partitions_of(
     if len(rows) > limit:
         return None
     return Partitions(tuple(fields), tuple(tuple(row) for row in rows))
+
+
+def in_partitions_of(rows: DataFrame, batch: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The ``rows`` whose partition ``batch`` touches; NULL matches NULL."""
+    wanted = batch.select(*[F.col(f).alias(f"_touched_{f}") for f in fields]).distinct()
+    same = [F.col(f).eqNullSafe(F.col(f"_touched_{f}")) for f in fields]
+    return rows.join(wanted, same, "left_semi")

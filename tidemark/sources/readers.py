@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.partitions import Partitions
+from tidemark.sources.partitions import Partitions, PartitionSpan
 from tidemark.spec import COMMIT_COL, TableSpec
 
 
@@ -16,11 +16,11 @@ class ColumnTypeError(ValueError):
 
 
 def _stored_schema(
-    spark: SparkSession, path: str, location: str, spec: TableSpec, every_file: bool
+    spark: SparkSession, path: str, location: str, spec: TableSpec
 ) -> T.StructType | None:
-    """Stored columns, from one file or from all at ``location``. Partition values
-    read as text, not as whatever type they look like."""
-    reader = spark.read.option("basePath", path).option("mergeSchema", every_file)
+    """Stored columns of all files at ``location``, as later files can have more. Partition
+    values read as text, not as whatever type they look like."""
+    reader = spark.read.option("basePath", path).option("mergeSchema", True)
     try:
         found = reader.parquet(location).schema
     except AnalysisException as error:
@@ -49,18 +49,18 @@ def read_table(
     spark: SparkSession,
     path: str,
     spec: TableSpec,
-    partitions: Partitions | None = None,
+    partitions: Partitions | PartitionSpan | None = None,
     also: T.StructType | None = None,
 ) -> DataFrame | None:
     """Rows of the table, or of some of its partitions; None if it holds none of them.
 
-    ``also`` is for reading rows to write them back: every file's columns are kept,
-    the columns of ``also`` are added, and partition fields take their types from it.
-    A column they share must have one type.
+    Every file's columns are read; a declared ``spec.schema`` saves opening the files to
+    learn them. ``also`` is for reading rows to write them back: its columns are added,
+    and partition fields take their types from it. A column they share must have one type.
     """
     location = partitions.directories(path) if partitions else path
     try:
-        schema = spec.schema or _stored_schema(spark, path, location, spec, every_file=also is not None)
+        schema = spec.schema or _stored_schema(spark, path, location, spec)
         if schema is None:
             return None
         if also is not None:
@@ -73,6 +73,18 @@ def read_table(
     return df.where(partitions.predicate()) if partitions else df
 
 
+def check_types(spark: SparkSession, path: str, spec: TableSpec, batch: T.StructType) -> None:
+    """Raises if ``batch`` gives a stored column another type."""
+    try:
+        stored = spec.schema or _stored_schema(spark, path, path, spec)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = None
+    if stored is not None:
+        _widened(stored, batch, spec)
+
+
 def table_exists(spark: SparkSession, path: str, spec: TableSpec) -> bool:
     """False only if nothing is stored at ``path``; any other failure is raised."""
     schema = spec.schema or T.StructType([T.StructField(COMMIT_COL, T.LongType())])
@@ -86,7 +98,7 @@ def table_exists(spark: SparkSession, path: str, spec: TableSpec) -> bool:
 
 
 def snapshot(
-    spark: SparkSession, path: str, spec: TableSpec, partitions: Partitions | None = None
+    spark: SparkSession, path: str, spec: TableSpec, partitions: Partitions | PartitionSpan | None = None
 ) -> DataFrame:
     """Current rows of the table."""
     df = read_table(spark, path, spec, partitions)
@@ -103,7 +115,7 @@ def incremental(
     spec: TableSpec,
     begin_us: int,
     end_us: int,
-    partitions: Partitions | None = None,
+    partitions: Partitions | PartitionSpan | None = None,
 ) -> DataFrame:
     """Current rows whose last commit lies in ``(begin, end]``.
 

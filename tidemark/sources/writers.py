@@ -1,8 +1,9 @@
 """Upsert, insert and bulk insert into partitioned Parquet tables.
 
 One writer per table at a time. A commit replaces or adds whole partition
-directories; it is not a transaction across partitions, so after a failed driver
-run the batch again, which leaves the same table.
+directories, one after another; it is no transaction. A driver lost while it swaps them
+can leave a partition without the rows it held before, which running the batch again
+does not bring back: such partitions are to be rebuilt from the layer below.
 """
 
 from __future__ import annotations
@@ -15,8 +16,14 @@ from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import EVENT_TIME, merge_batch
-from tidemark.sources.partitions import MAX_LITERAL_PARTITIONS, Partitions, blank_to_null
-from tidemark.sources.readers import read_table
+from tidemark.sources.partitions import (
+    MAX_LITERAL_PARTITIONS,
+    Partitions,
+    PartitionSpan,
+    blank_to_null,
+    in_partitions_of,
+)
+from tidemark.sources.readers import check_types, read_table
 from tidemark.spec import COMMIT_COL, TableSpec
 
 
@@ -27,11 +34,11 @@ class NullKeyError(ValueError):
 @dataclass(frozen=True)
 class UpsertReport:
     """Rows sent: ``rows`` with a record key and ``rejected`` without one; and the
-    partitions they touch (None if there are too many to list)."""
+    partitions they touch, or their span if there are too many to list."""
 
     rows: int
     rejected: int
-    partitions: Partitions | None
+    partitions: Partitions | PartitionSpan
 
 
 def stamped(df: DataFrame, commit_us: int | None) -> DataFrame:
@@ -69,27 +76,28 @@ def _save(df: DataFrame, path: str, spec: TableSpec, mode: str) -> None:
 def insert(df: DataFrame, path: str, spec: TableSpec, commit_us: int | None = None) -> None:
     """Append without looking for keys; duplicates are allowed."""
     rows = blank_to_null(stamped(df, commit_us), spec.partition_fields)
+    check_types(df.sparkSession, path, spec, rows.schema)
     _save(_laid_out(rows, spec, COMMIT_COL), path, spec, "append")
 
 
 def bulk_insert(df: DataFrame, path: str, spec: TableSpec, commit_us: int | None = None) -> None:
     """Append for a first load: as :func:`insert`, files sorted by record key."""
     rows = blank_to_null(stamped(df, commit_us), spec.partition_fields)
+    check_types(df.sparkSession, path, spec, rows.schema)
     _save(_laid_out(rows, spec, spec.record_key), path, spec, "append")
 
 
 def _touched_rows(
-    spark: SparkSession, path: str, spec: TableSpec, incoming: DataFrame, touched: Partitions | None
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    incoming: DataFrame,
+    touched: Partitions | PartitionSpan,
 ) -> DataFrame | None:
-    if touched is not None:
-        return read_table(spark, path, spec, touched, also=incoming.schema)
-    existing = read_table(spark, path, spec, also=incoming.schema)
-    if existing is None:
-        return None
-    fields = spec.partition_fields
-    wanted = incoming.select(*[F.col(f).alias(f"_touched_{f}") for f in fields]).distinct()
-    same = [F.col(f).eqNullSafe(F.col(f"_touched_{f}")) for f in fields]
-    return existing.join(wanted, same, "left_semi")
+    existing = read_table(spark, path, spec, touched, also=incoming.schema)
+    if existing is None or isinstance(touched, Partitions):
+        return existing
+    return in_partitions_of(existing, incoming, spec.partition_fields)
 
 
 def _survey(df: DataFrame, spec: TableSpec, on_null_key: str, limit: int) -> UpsertReport:
@@ -100,7 +108,13 @@ def _survey(df: DataFrame, spec: TableSpec, on_null_key: str, limit: int) -> Ups
     totals = [F.count_if(keyed).alias("rows"), F.count_if(~keyed).alias("keyless")]
     found = df.groupBy(*fields).agg(*totals).limit(limit + 1).collect()
     listed = len(found) <= limit
-    sums = found if listed else df.agg(*totals).collect()
+    first = F.when(keyed, F.col(fields[0]))
+    bounds = [
+        F.min(first).alias("least"),
+        F.max(first).alias("most"),
+        F.bool_or(keyed & F.col(fields[0]).isNull()).alias("nulls"),
+    ]
+    sums = found if listed else df.agg(*totals, *bounds).collect()
     rejected = sum(row["keyless"] for row in sums)
     if rejected and on_null_key == "raise":
         raise NullKeyError(f"{rejected} rows have no {spec.record_key}")
@@ -108,7 +122,9 @@ def _survey(df: DataFrame, spec: TableSpec, on_null_key: str, limit: int) -> Ups
     return UpsertReport(
         rows=sum(row["rows"] for row in sums),
         rejected=rejected,
-        partitions=Partitions(fields, values) if listed else None,
+        partitions=Partitions(fields, values)
+        if listed
+        else PartitionSpan(fields[0], sums[0]["least"], sums[0]["most"], bool(sums[0]["nulls"])),
     )
 
 
@@ -172,6 +188,7 @@ def replace_partitions(
     """Make the batch the whole content of every partition it touches."""
     sent = blank_to_null(stamped(df, commit_us), spec.partition_fields)
     report = _survey(sent, spec, on_null_key, MAX_LITERAL_PARTITIONS)
+    check_types(df.sparkSession, path, spec, sent.schema)
     if report.rows:
         _save(_laid_out(_keyed(sent, spec, unique), spec, COMMIT_COL), path, spec, "overwrite")
     return report
