@@ -36,8 +36,10 @@ PROBED = 0.7
 LEAST_PROBED = 8
 COLUMNS = 16
 EPSILON = 2.1
-#: Candidates scored in full to start the bound of a block.
-SEED = 64
+#: Vectors scored in full for each query: their kth best score starts its bound.
+SEEDS = 4096
+#: Share of the pairs alive below which the rest is scanned pair by pair.
+SPARSE = 0.1
 BLOCK = 2048
 QUERIES = 512
 
@@ -94,56 +96,76 @@ def _listed(centres: np.ndarray):
     return place
 
 
-def _probed(centres: np.ndarray, probes: int):
-    """Each query with the lists it scans."""
+def _probed(centres: np.ndarray, probes: int, seeds: np.ndarray, seed_ids: np.ndarray, k: int):
+    """Each query with the lists it scans and the kth best score of the seeds, and with the
+    best seeds themselves (``list`` NULL)."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids = batch.column("vec_id").to_numpy()
             x = _matrix(batch.column("embedding"), centres.shape[1]).astype(np.float64)
             near = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :probes]
+            least = np.full(len(x), -np.inf)
+            best = np.zeros((len(x), 0), int)
+            if len(seeds) > k:
+                scores = np.where(ids[:, None] == seed_ids[None, :], -np.inf, x @ seeds.T)
+                best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+                least = np.take_along_axis(scores, best, axis=1).min(axis=1)
             rows = np.repeat(np.arange(len(x)), near.shape[1])
+            seeded = np.repeat(np.arange(len(x)), best.shape[1])
+            exact = (x[seeded] * seeds[best.reshape(-1)]).sum(axis=1)
+            found = np.isfinite(np.take_along_axis(scores, best, axis=1)).reshape(-1) if len(seeds) > k else []
+            seeded, chosen, exact = seeded[found], best.reshape(-1)[found], exact[found]
+            blank, absent = [None] * len(rows), [None] * len(seeded)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("vec_id").take(pa.array(rows)),
-                    batch.column("embedding").take(pa.array(rows)),
-                    pa.array(near.reshape(-1).astype(np.int32)),
+                    pa.array(np.concatenate([ids[rows], ids[seeded]]), pa.int64()),
+                    batch.column("embedding").take(pa.array(np.concatenate([rows, seeded]))),
+                    pa.array(near.reshape(-1).tolist() + absent, pa.int32()),
+                    pa.array(least[rows].tolist() + absent, pa.float64()),
+                    pa.array(blank + seed_ids[chosen].tolist(), pa.int64()),
+                    pa.array(blank + exact.tolist(), pa.float64()),
                 ],
-                names=["query_id", "embedding", "list"],
+                names=["query_id", "embedding", "list", "least", "vec_id", "score"],
             )
 
     return place
 
 
 def scan_block(
-    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, rotation: np.ndarray, k: int
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    least: np.ndarray,
+    vectors: np.ndarray,
+    ids: np.ndarray,
+    rotation: np.ndarray,
+    k: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The best ``k`` of a block for each query, as (query row, vector row, score)."""
+    """The best ``k`` of a block for each query, as (query row, vector row, score), of those
+    that score ``least`` or more."""
     width = vectors.shape[1]
     q, x = queries @ rotation, vectors @ rotation
-    own = query_ids[:, None] == ids[None, :]
-    alive = ~own
-    if len(x) > max(SEED, k):
-        seeds = np.where(own[:, :SEED], -np.inf, queries @ vectors[:SEED].T)
-        if seeds.shape[1] >= k:
-            least = np.partition(seeds, -k, axis=1)[:, -k]  # no better than the kth best
-            norms = (q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :]
-            bound = np.maximum(norms - 2 * least[:, None], 0)
-            rows, columns = np.nonzero(alive)
-            partial = np.zeros(len(rows))
-            for end in range(COLUMNS, width, COLUMNS):
-                block = slice(end - COLUMNS, end)
-                if end == COLUMNS:  # the first block for all pairs at once
-                    a, b = q[:, block], x[:, block]
-                    first = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * a @ b.T
-                    partial = first[rows, columns]
-                else:
-                    partial += ((q[rows, block] - x[columns, block]) ** 2).sum(axis=1)
-                stay = partial * (width / end) <= bound[rows, columns] * (1 + EPSILON / math.sqrt(end)) ** 2
-                rows, columns, partial = rows[stay], columns[stay], partial[stay]
-            alive[:] = False
-            alive[rows, columns] = True
-            alive[:, :SEED] = ~own[:, :SEED]
-    rows, columns = np.nonzero(alive)
+    alive = query_ids[:, None] != ids[None, :]
+    norms = (q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :]
+    bound = np.maximum(norms - 2 * least[:, None], 0) * (1 + 1e-9) + 1e-9
+    partial, rows = np.zeros(alive.shape), None
+    for start in range(0, width, COLUMNS):
+        end = min(start + COLUMNS, width)
+        a, b = q[:, start:end], x[:, start:end]
+        # how far over the bound a scaled partial distance may be by chance
+        slack = (1 + EPSILON / math.sqrt(end)) ** 2 * end / width if end < width else 1.0
+        if rows is None:  # all pairs, in one product
+            partial += (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * a @ b.T
+            alive &= partial <= bound * slack
+            if alive.mean() < SPARSE:
+                rows, columns = np.nonzero(alive)
+                partial, bound = partial[rows, columns], bound[rows, columns]
+        else:  # what is left, pair by pair
+            partial += ((a[rows] - b[columns]) ** 2).sum(axis=1)
+            stay = partial <= bound * slack
+            rows, columns, partial, bound = rows[stay], columns[stay], partial[stay], bound[stay]
+    if rows is None:
+        rows, columns = np.nonzero(alive)
     scores = (queries[rows] * vectors[columns]).sum(axis=1)
     order = np.lexsort((ids[columns], -scores, rows))
     rows, columns, scores = rows[order], columns[order], scores[order]
@@ -164,17 +186,25 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return spark.createDataFrame([], result)
     width, total = common["width"], common["count"]
     usable = usable.where(F.size("embedding") == width)
-    sample = (
-        usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toPandas()["embedding"]
-    )
-    sample = np.stack(sample.to_list()).astype(np.float64)
+    # ids first, so that no more than the sample's vectors are sent
+    chosen = usable.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+    rows = usable.join(F.broadcast(chosen), "vec_id").dropDuplicates(["vec_id"]).toPandas().sort_values("vec_id")
+    sample, sample_ids = np.stack(rows["embedding"].to_list()).astype(np.float64), rows["vec_id"].to_numpy()
+    picked = np.random.default_rng(13).permutation(len(sample))[:SEEDS]
+    seeds, seed_ids = sample[picked], sample_ids[picked]
     centres = _centroids(sample, max(1, min(MOST_LISTS, round(math.sqrt(total) / 2))))
     probes = max(LEAST_PROBED, math.ceil(PROBED * len(centres)))
     rotation = _rotation(width)
 
     listed = kept(usable.mapInArrow(_listed(centres), "vec_id long, embedding array<float>, list int"))
     asked = _usable(queries).where(F.size("embedding") == width)
-    probing = kept(asked.mapInArrow(_probed(centres, probes), "query_id long, embedding array<float>, list int"))
+    started = kept(
+        asked.mapInArrow(
+            _probed(centres, probes, seeds, seed_ids, k),
+            "query_id long, embedding array<float>, list int, least double, vec_id long, score double",
+        )
+    )
+    probing = started.where("list IS NOT NULL").select("query_id", "embedding", "list", "least")
     # a row for each list at most, of which there are MOST_LISTS
     blocks = listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     groups = probing.groupBy("list").agg(F.ceil(F.count("*") / QUERIES).alias("groups"))
@@ -189,7 +219,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     )
     scanning = probing.join(cuts, "list").select(
         "list", numbers("blocks").alias("block"), F.pmod(F.xxhash64("query_id"), "groups").alias("group"),
-        "query_id", "embedding",
+        "query_id", "embedding", "least",
     )
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -198,13 +228,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         ids, query_ids = left["vec_id"].to_numpy(), right["query_id"].to_numpy()
         x = np.stack(left["embedding"].to_list()).astype(np.float64)
         q = np.stack(right["embedding"].to_list()).astype(np.float64)
-        rows, columns, scores = scan_block(q, query_ids, x, ids, rotation, k)
+        rows, columns, scores = scan_block(q, query_ids, right["least"].to_numpy(), x, ids, rotation, k)
         return pd.DataFrame({"query_id": query_ids[rows], "vec_id": ids[columns], "score": scores})
 
     keys = ["list", "block", "group"]
     found = stored.groupBy(*keys).cogroup(scanning.groupBy(*keys)).applyInPandas(
         scan, "query_id long, vec_id long, score double"
     )
+    # a seed is also found in its list; equal scores of one id are one candidate
+    seeded = started.where("list IS NULL").select("query_id", "vec_id", "score")
+    found = found.join(seeded.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_anti").union(seeded)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
