@@ -137,11 +137,18 @@ def read_archive(data: bytes) -> Iterator[tuple[dict[str, str], int, bytes]]:
 
 def _dictionary(pages: DataFrame) -> bytes:
     """A dictionary trained on a bounded sample; empty if there is too little of it."""
-    sample = (
+    chosen = (
         pages.where("html <> ''")
+        .select("page_id")
+        .distinct()
         .orderBy(F.xxhash64("page_id"), "page_id")
         .limit(SAMPLE_PAGES)
-        .select(F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+    )
+    sample = (
+        pages.join(F.broadcast(chosen), "page_id")
+        .select("page_id", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+        .dropDuplicates(["page_id"])
+        .orderBy("page_id")
         .collect()
     )
     try:
