@@ -19,9 +19,9 @@ from tidemark.plans.batch import (
     next_window,
     read_audit,
 )
-from tidemark.plans.layers import REFRESH, run_batch
+from tidemark.plans.layers import REFRESH, rebuild_days, run_batch
 from tidemark.sources.readers import ColumnTypeError, snapshot, table_exists
-from tidemark.sources.writers import insert
+from tidemark.sources.writers import clear_partitions, insert
 from tidemark.spec import COMMIT_COL, Lake
 from tidemark.streaming.arrivals import CADENCE, run_stream
 
@@ -278,6 +278,46 @@ def test_refresh_drops_groups_that_emptied(spark, folder):
     assert set(_totals(spark, lake, "by_hour")) == {"2024-01-01_8", "2024-01-01_9"}
 
 
+@pytest.mark.parametrize("cap", [1000, 1])
+def test_refresh_empties_days_without_valid_rows(spark, folder, cap):
+    lake = Lake(folder)
+    _arrive(spark, lake, 1, _event(1), _event(2, day=2), _event(3, day=3))
+    _arrive(spark, lake, 6, _event(1, amount="-5", hour=8), _event(4, day=2, amount="1"))
+    for minute in (5, 10):
+        run_batch(
+            spark, lake, as_of=START + timedelta(minutes=minute), gold_mode=REFRESH, max_literal_partitions=cap
+        )
+    assert _totals(spark, lake) == {"A_2024-01-02": 11.0, "A_2024-01-03": 10.0}
+    assert set(_totals(spark, lake, "by_hour")) == {"2024-01-02_7", "2024-01-03_7"}
+    # The day can fill again.
+    _arrive(spark, lake, 11, _event(1, amount="3", hour=9))
+    run_batch(spark, lake, as_of=START + timedelta(minutes=15), gold_mode=REFRESH)
+    assert _totals(spark, lake)["A_2024-01-01"] == 3.0
+
+
+def test_lost_partitions_are_rebuilt_from_bronze(spark, folder):
+    lake = Lake(folder)
+    undated = (8, datetime(2024, 1, 1, 7), "2024-01-01", "4", "1", "never", "a", 5, None)
+    _arrive(spark, lake, 1, _event(1), _event(2, day=2), _event(2, day=2, hour=9, amount="6"), undated)
+    _arrive(spark, lake, 6, _event(3, amount="1"))
+    for minute in (5, 10):
+        run_batch(spark, lake, as_of=START + timedelta(minutes=minute), gold_mode=REFRESH)
+    state = lambda: sorted(
+        (tuple(r) for r in _stored(spark, lake, "silver_events").drop(COMMIT_COL, "processed_at").collect()), key=repr
+    )
+    before, totals, mark = state(), _totals(spark, lake), high_water_mark(spark, lake)
+    for table in ("silver_events", lake.gold_table("by_category")):
+        stored, spec = _stored(spark, lake, table), lake.spec(table)
+        lost = stored.where("dt = '2024-01-01'").select(*spec.partition_fields).distinct()
+        clear_partitions(lost, lake.path(table), spec, stored.schema)
+    assert len(state()) == len(before) - 2 and len(_totals(spark, lake)) == 1
+    rebuild_days(spark, lake, ["2024-01-01", None], as_of=START)
+    assert state() == before and _totals(spark, lake) == totals
+    assert high_water_mark(spark, lake) == mark
+    untouched = _stored(spark, lake, "silver_events").where("dt = '2024-01-02'").first()
+    assert untouched[COMMIT_COL] <= mark
+
+
 @pytest.mark.parametrize("mode", ["slice", REFRESH])
 def test_crash_between_silver_and_gold_is_repaired(spark, folder, monkeypatch, mode):
     lake = Lake(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -238,6 +239,36 @@ def test_random_batches_against_a_dictionary(spark, folder, merge_order, literal
     assert _stored(spark, folder) == sorted(model.values(), key=repr)
 
 
+def _files(folder):
+    return {str(f.relative_to(folder)) for f in Path(folder).rglob("*.parquet")}
+
+
+def test_partitions_without_stored_keys_keep_their_files(spark, folder):
+    first = [(1, 1, "d", "a", "x"), (2, 1, "e", "a", "x"), (3, 1, None, "a", "x"), (4, 1, "f", None, "x")]
+    upsert(_rows(spark, *first), folder, SPEC, 1)
+    before = _files(folder)
+    second = [(5, 1, "d", "a", "y"), (2, 2, "e", "a", "y"), (6, 1, None, "a", "y"), (7, 1, "f", None, "y")]
+    for _ in range(2):  # run again, the table is the same
+        upsert(_rows(spark, *second), folder, SPEC, 2)
+        assert _stored(spark, folder) == sorted(
+            [(*r, 1) for r in first if r[0] != 2] + [(*r, 2) for r in second], key=repr
+        )
+        if _ == 0:
+            kept = before & _files(folder)
+            assert len(kept) == 3 and not any("dt=e" in f for f in kept)
+
+
+def test_crash_between_append_and_merge_is_repaired(spark, folder, monkeypatch):
+    upsert(_rows(spark, (1, 1, "d", "a", "x"), (2, 1, "e", "a", "x")), folder, SPEC, 1)
+    batch = _rows(spark, (3, 1, "d", "a", "y"), (2, 2, "e", "a", "y"))
+    with monkeypatch.context() as patch:
+        patch.setattr(writers, "merge_batch", lambda *_: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError, match="crash"):
+            upsert(batch, folder, SPEC, 2)
+    upsert(batch, folder, SPEC, 2)
+    assert [(r[0], r[4], r[5]) for r in _stored(spark, folder)] == [(1, "x", 1), (2, "y", 2), (3, "y", 2)]
+
+
 def test_failed_write_leaves_the_table(spark, folder, monkeypatch):
     upsert(_rows(spark, (1, 1, "d", "a", "x")), folder, SPEC, 1)
     before, save = _stored(spark, folder), writers._save

@@ -21,6 +21,12 @@ def _same(columns: tuple[str, ...]) -> list[Column]:
     return [F.col(c).eqNullSafe(F.col(_INCOMING + c)) for c in columns]
 
 
+def stored_keys(existing: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys of the batch that are stored already, from a read of the key columns alone."""
+    sent = _prefixed(incoming, list(spec.keys))
+    return existing.select(*spec.keys).join(sent, _same(spec.keys), "left_semi")
+
+
 def accepted_rows(existing: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     """Incoming rows that no stored row outranks. Equal ordering values accept;
     NULL is the least.

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 from pyspark.util import inheritable_thread_target
 
+from tidemark.functions.casts import lenient_date
 from tidemark.functions.marks import as_utc
 from tidemark.operators import gold
 from tidemark.operators.merge import COMMIT_TIME, EVENT_TIME
-from tidemark.operators.silver import to_silver
+from tidemark.operators.silver import event_day, to_silver
 from tidemark.plans.batch import (
     BatchCounts,
     BatchWindow,
@@ -24,9 +27,9 @@ from tidemark.plans.batch import (
     next_window,
 )
 from tidemark.sources.partitions import MAX_LITERAL_PARTITIONS, in_partitions_of, partitions_of
-from tidemark.sources.readers import incremental, snapshot
-from tidemark.sources.writers import UpsertReport, replace_partitions, stamped, upsert
-from tidemark.spec import Lake
+from tidemark.sources.readers import incremental, read_table, snapshot
+from tidemark.sources.writers import UpsertReport, clear_partitions, replace_partitions, stamped, upsert
+from tidemark.spec import Lake, TableSpec
 
 SLICE = "slice"
 REFRESH = "refresh"
@@ -53,7 +56,8 @@ def process(
     gold reads exactly the silver rows that commit wrote. ``merge_order`` is silver's;
     in gold the last batch always wins. ``gold_mode="slice"`` upserts aggregates of the batch
     alone, so the latest batch to touch a group replaces its row; ``"refresh"``
-    recomputes the days the batch touches from all of silver.
+    recomputes the days the batch touches from all of silver, and a day without any
+    valid row left has none in gold. Rows without a day are left out of a refresh.
     """
     if gold_mode not in (SLICE, REFRESH):
         raise ValueError(f"unknown gold mode {gold_mode!r}")
@@ -91,20 +95,37 @@ def process(
     if counts["silver_slice_count"] == 0:
         return BatchCounts(**counts)
     source = silver_slice
+    dated = silver_slice.where(F.col("dt").isNotNull())
+    days = None
     if gold_mode == REFRESH:
-        days = partitions_of(silver_slice, GOLD_DAY, max_literal_partitions)
-        source = snapshot(spark, silver_path, stored, days or silver.partitions)
+        # Rows without a day, of all times, make no group that gold keeps.
+        days = partitions_of(dated, GOLD_DAY, max_literal_partitions)
+        source = snapshot(spark, silver_path, stored, days or silver.partitions).where("dt IS NOT NULL")
         if days is None:  # too many to list: the same days by a join
-            source = in_partitions_of(source, silver_slice, GOLD_DAY)
+            source = in_partitions_of(source, dated, GOLD_DAY)
     tables = gold.aggregations(source, window.batch_id, as_of)
 
+    def clear_emptied(groups: DataFrame, path: str, spec: TableSpec) -> None:
+        """Touched days that have no group any more lose the rows gold holds for them."""
+        held = read_table(spark, path, spec, days)
+        if held is None:
+            return
+        left = groups.where(F.col(spec.record_key).isNotNull())
+        emptied = (
+            in_partitions_of(held.select(*GOLD_DAY).distinct(), dated, GOLD_DAY)
+            .join(left.select(*GOLD_DAY), list(GOLD_DAY), "left_anti")
+        )
+        clear_partitions(emptied, path, spec, held.schema)
+
     def write(name: str) -> UpsertReport:
         path, spec = lake.path(lake.gold_table(name)), lake.spec(lake.gold_table(name))
         common = {"on_null_key": "reject", "unique": True}
         groups = tables[name].persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if gold_mode == REFRESH:
-                return replace_partitions(groups, path, spec, commit_us, **common)
+                report = replace_partitions(groups, path, spec, commit_us, **common)
+                clear_emptied(groups, path, spec)
+                return report
             return upsert(groups, path, spec, commit_us, merge_order=COMMIT_TIME, **common)
         finally:
             groups.unpersist()
@@ -173,3 +194,27 @@ def run_batch(
         mark_us=max(mark, window.end_us) if window.begin_us <= mark else mark,
     )
     return counts
+
+
+def rebuild_days(
+    spark: SparkSession, lake: Lake, days: Sequence[str | None], *, as_of: datetime | None = None
+) -> BatchCounts:
+    """Run every bronze row of some event days (``yyyy-MM-dd``; None: rows without one)
+    through the layers again, with gold refreshed.
+
+    It brings back the rows a partition lost with a driver that went during a commit. Of
+    the days' rows, those of the latest event time get a new commit, just after the last,
+    whether they were lost or not. For silver merged by event time. Recorded like a
+    backfill; the high-water mark stays.
+    """
+    started = time.monotonic()
+    bronze = snapshot(spark, lake.path(lake.bronze_table), lake.spec(lake.bronze_table))
+    day = event_day(lenient_date(F.col("transaction_date"), bronze.schema["transaction_date"].dataType))
+    wanted = day.isin([d for d in days if d is not None])
+    if None in days:
+        wanted = wanted | day.isNull()
+    last, mark = last_commit(spark, lake) or 0, high_water_mark(spark, lake) or 0
+    window = BatchWindow(last, last + 1)
+    counts = process(spark, lake, bronze.where(wanted), window, as_of=as_of, gold_mode=REFRESH)
+    append_audit(spark, lake, window, counts, time.monotonic() - started, mark_us=mark)
+    return counts

@@ -3,7 +3,7 @@
 One writer per table at a time. A commit replaces or adds whole partition
 directories, one after another; it is no transaction. A driver lost while it swaps them
 can leave a partition without the rows it held before, which running the batch again
-does not bring back: such partitions are to be rebuilt from the layer below.
+does not bring back: ``plans.layers.rebuild_days`` does, from bronze.
 """
 
 from __future__ import annotations
@@ -12,16 +12,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.merge import EVENT_TIME, merge_batch
+from tidemark.operators.merge import EVENT_TIME, merge_batch, stored_keys
 from tidemark.sources.partitions import (
     MAX_LITERAL_PARTITIONS,
     Partitions,
     PartitionSpan,
     blank_to_null,
     in_partitions_of,
+    partitions_of,
 )
 from tidemark.sources.readers import check_types, read_table
 from tidemark.spec import COMMIT_COL, TableSpec
@@ -133,6 +135,22 @@ def _keyed(df: DataFrame, spec: TableSpec, unique: bool) -> DataFrame:
     return keyed if unique else latest_per_key(keyed, spec.keys, spec.ordering_field)
 
 
+def _append_new(
+    existing: DataFrame, rows: DataFrame, path: str, spec: TableSpec, touched: Partitions
+) -> tuple[DataFrame, DataFrame | None]:
+    """Appends the rows of partitions that store no key of the batch, whose files stay as
+    they are. What is left to merge: the other partitions' stored rows, and the batch's
+    rows for them, None if there are none. Run again, the appended keys are found stored."""
+    matched = partitions_of(stored_keys(existing, rows, spec), touched.fields, len(touched.values))
+    if len(matched.values) == len(touched.values):
+        return existing, rows
+    to_merge = F.coalesce(matched.predicate(), F.lit(False))  # NULL fields match no literal
+    _save(_laid_out(rows.where(~to_merge), spec, COMMIT_COL), path, spec, "append")
+    if not matched.values:
+        return existing, None
+    return existing.where(matched.predicate()), rows.where(to_merge)
+
+
 def upsert(
     df: DataFrame,
     path: str,
@@ -168,14 +186,30 @@ def upsert(
     try:
         if cached:
             rows.count()
-        merged = rows if existing is None else merge_batch(existing, rows, spec, merge_order)
-        _save(_laid_out(merged, spec, COMMIT_COL), path, spec, "overwrite")
+        if existing is not None and isinstance(report.partitions, Partitions):
+            existing, rows_left = _append_new(existing, rows, path, spec, report.partitions)
+        else:
+            rows_left = rows
+        if rows_left is not None:
+            merged = rows if existing is None else merge_batch(existing, rows_left, spec, merge_order)
+            _save(_laid_out(merged, spec, COMMIT_COL), path, spec, "overwrite")
     finally:
         if cached:
             rows.unpersist()
     return report
 
 
+def clear_partitions(partitions: DataFrame, path: str, spec: TableSpec, schema: T.StructType) -> None:
+    """Leaves no row in each of ``partitions``, one row of partition values a partition.
+    For values that a directory name holds as they are, such as days."""
+    spark = partitions.sparkSession
+    stored = T.StructType([f for f in schema.fields if f.name not in spec.partition_fields])
+    # An overwrite replaces the partitions it has rows for; these have none left.
+    for values in partitions.select(*spec.partition_fields).toLocalIterator():
+        place = "/".join(f"{field}={value}" for field, value in values.asDict().items())
+        spark.createDataFrame([], stored).write.mode("overwrite").parquet(f"{path}/{place}")
+
+
 def replace_partitions(
     df: DataFrame,
     path: str,
