@@ -257,6 +257,57 @@ def empty_batch_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_audit(spark, lake).select(*_AUDIT)
 
 
+def scheduled_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows arrive between runs; each run takes what became visible since the last."""
+    lake, rows = Lake(workspace(spark)), bronze_rows(spark, sf_dir)
+    for window in commit_windows(rows):
+        arrived = (F.col(COMMIT_COL) > window.begin_us) & (F.col(COMMIT_COL) <= window.end_us)
+        insert(rows.where(arrived), lake.path(lake.bronze_table), lake.spec(lake.bronze_table))
+        run_batch(spark, lake, as_of=from_micros(window.end_us))
+    return _pick(_stored(spark, lake, lake.silver_table), *_SILVER)
+
+
+def backfill_older_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows, then the first again: its rows that still stand get a later commit."""
+    lake = _run_batches(spark, sf_dir)
+    first = commit_windows(bronze_rows(spark, sf_dir))[0]
+    run_batch(spark, lake, first, as_of=from_micros(first.end_us))
+    return _pick(_stored(spark, lake, lake.silver_table), *_SILVER)
+
+
+def bronze_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections bring a column that the originals lack."""
+    lake, rows = Lake(workspace(spark)), bronze_rows(spark, sf_dir)
+    path, spec = lake.path(lake.bronze_table), lake.spec(lake.bronze_table)
+    insert(_originals(spark, sf_dir), path, spec)
+    insert(_corrections(spark, sf_dir).withColumn("extra", F.concat(F.lit("c"), "id")), path, spec)
+    window = commit_windows(rows, 1)[0]
+    run_batch(spark, lake, window, as_of=from_micros(window.end_us))
+    return _pick(_stored(spark, lake, lake.silver_table), *_SILVER, "extra")
+
+
+def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of two batches is delivered twice."""
+    path = workspace(spark)
+    for mark, rows in ((1, _originals), (2, _corrections), (2, _corrections)):
+        upsert(to_silver(rows(spark, sf_dir), AS_OF), path, SILVER_SPEC, mark)
+    return _pick(snapshot(spark, path, SILVER_SPEC), *_SILVER)
+
+
+def gold_refresh_emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After all windows, every amount of the first day is corrected to an invalid one."""
+    lake = _run_batches(spark, sf_dir, gold_mode=REFRESH)
+    rows = bronze_rows(spark, sf_dir)
+    first_day = rows.agg(F.min("transaction_date")).first()[0]
+    end = commit_windows(rows)[-1].end_us
+    corrected = rows.where(F.col("transaction_date") == first_day).withColumns(
+        {"amount": F.lit("-1"), "ts": F.col("ts") + F.expr("INTERVAL 2 DAY")}
+    )
+    insert(corrected, lake.path(lake.bronze_table), lake.spec(lake.bronze_table), end + 1)
+    run_batch(spark, lake, BatchWindow(end, end + 1), as_of=from_micros(end + 1), gold_mode=REFRESH)
+    return _pick(_stored(spark, lake, lake.gold_table("by_category")), *_CATEGORY)
+
+
 def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Originals arrive and are taken, then corrections; the second run sees only
     the new files."""
@@ -312,5 +363,11 @@ QUERIES: dict[str, Query] = {
     "gold_last_batch_wins_by_hour": _gold_after_batches("by_hour", _HOUR),
     "gold_refresh": _gold_after_batches("by_category", _CATEGORY, gold_mode=REFRESH),
     "gold_refresh_by_hour": _gold_after_batches("by_hour", _HOUR, gold_mode=REFRESH),
+    "gold_processed_at": _gold_after_batches("by_category", ("category_code", "dt", "processed_at")),
+    "gold_refresh_emptied_day": gold_refresh_emptied_day,
+    "scheduled_batches": scheduled_batches,
+    "backfill_older_window": backfill_older_window,
+    "bronze_new_column": bronze_new_column,
+    "upsert_replay": upsert_replay,
     "stream_available_now": stream_available_now,
 }

@@ -206,5 +206,18 @@ FROM slots""",
     "gold_last_batch_wins_by_hour": _last_batch(_by_hour("accepted", "batch_id")),
     "gold_refresh": _refreshed(_by_category("dayed", "day_batch_id")),
     "gold_refresh_by_hour": _refreshed(_by_hour("dayed", "day_batch_id")),
+    "gold_processed_at": f"""WITH {_batched(BATCHES)}
+SELECT category_code, dt, max(make_timestamp(end_us)) AS processed_at
+FROM accepted WHERE is_valid AND {_CATEGORY_KEY.split(" AS ")[0]} IS NOT NULL GROUP BY ALL""",
+    "gold_refresh_emptied_day": _refreshed(_by_category("dayed", "day_batch_id"))
+    + " AND dt <> (SELECT min(dt) FROM silver)",
+    "scheduled_batches": f"""WITH {_batched(BATCHES)},
+seen AS (SELECT batch, max({COMMIT_COL}) AS seen_us FROM ended GROUP BY batch)
+SELECT {_silver_list("seen_us")} FROM stored JOIN seen USING (batch)""",
+    "backfill_older_window": f"""WITH {_batched(BATCHES)}
+SELECT {_silver_list("CASE WHEN batch = 1 THEN last_us + 1 ELSE end_us END")} FROM stored""",
+    "bronze_new_column": f"""WITH {_batched(1)}
+SELECT {_silver_list("end_us")}, CASE WHEN ver = 1 THEN concat('c', id) END AS extra FROM stored""",
+    "upsert_replay": _two_upserts("ts DESC, ver DESC", 0),
     "stream_available_now": _two_upserts("ts DESC, ver DESC", 0),
 }
