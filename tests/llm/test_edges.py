@@ -92,6 +92,19 @@ def test_edited_leak_is_verified(spark, items):
     assert row.similarity == pytest.approx(7 / 9)
 
 
+def test_leaks_of_repeated_items(spark):
+    """A repeated row of an item, two texts under one id, and one text under two ids."""
+    other = " ".join(f"o{i}" for i in range(12))
+    third = " ".join(f"t{i}" for i in range(15))
+    rows = [(1, ITEM), (1, ITEM.upper()), (1, ITEM), (2, other), (2, third), (2, third), (3, other)]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    docs = [(1, f"x {ITEM} y"), (2, f"x {other} y"), (3, f"x {third} y"), (4, "x y z " * 9)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = sorted((r.doc_id, r.item_id, r.similarity, r.n_windows) for r in decontaminate.leaks(frame, benchmark).collect())
+    assert found == [(1, 1, 1.0, 1), (2, 2, 1.0, 1), (2, 3, 1.0, 1), (3, 2, 1.0, 1)]
+    assert [r.doc_id for r in decontaminate.clean(frame, benchmark).collect()] == [4]
+
+
 def test_secrets_of_edge_rows(rows, none):
     found = {(r.doc_id, r.spans) for r in secrets.secret_scan(rows).collect()}
     assert (1, "") in found and (2, "") in found

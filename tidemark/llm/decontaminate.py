@@ -16,7 +16,8 @@ document is paired with another.
 Defined results: NULL, empty or blank texts and texts of fewer than five words match
 nothing; items of fewer than five words are too short to tell a leak and match nothing.
 Rows without doc_id or item_id are left out; repeated rows change nothing; the rows of
-one doc_id count as documents of that id. Windows reaching over a text's ends are cut
+one doc_id count as documents of that id, and the texts of one item_id as items of that
+id, of which the most similar counts. Windows reaching over a text's ends are cut
 there. Other columns are ignored.
 """
 
@@ -88,11 +89,18 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, similarity, n_windows)`` for each document that has a window
     alike an item; ``documents(doc_id, text)``, ``benchmark(item_id, text)``."""
     documents = documents.where("doc_id IS NOT NULL").select("doc_id", "text")
-    items = kept(
+    # an item is a distinct text, whichever ids it has
+    named = kept(
         benchmark.where("item_id IS NOT NULL")
         .select("item_id", words(F.col("text")).alias("words"))
         .where(F.size("words") >= SHINGLE)
-        .select("item_id", F.size("words").alias("size"), F.posexplode(_shingles(F.col("words"))).alias("at", "h"))
+        .select("item_id", F.md5(F.concat_ws(" ", "words")).alias("item"), "words")
+        .distinct()
+    )
+    items = kept(
+        named.groupBy("item")
+        .agg(F.first("words").alias("words"))
+        .select("item", F.size("words").alias("size"), F.posexplode(_shingles(F.col("words"))).alias("at", "h"))
     )
     places = items.select("h", "at", "size").distinct()
     places = broadcast_if_small(places, items.count(), MOST_BROADCAST)
@@ -121,7 +129,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         .agg(F.first("cut").alias("cut"))
         .select("content", "size", F.explode(_shingles(F.col("cut"))).alias("h"))
     )
-    verified = _verified(shingles, items)
+    verified = (
+        _verified(shingles, items)
+        .join(named.select("item", "item_id"), "item")
+        .groupBy("content", "item_id")
+        .agg(F.max("similarity").alias("similarity"))
+    )
     return (
         members.select("doc_id", "content")
         .join(verified, "content")
@@ -131,39 +144,39 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _verified(shingles: DataFrame, items: DataFrame) -> DataFrame:
-    """``(content, item_id, similarity)`` of the pairs of equal size, near fingerprints and
+    """``(content, item, similarity)`` of the pairs of equal size, near fingerprints and
     enough similarity."""
     contents = _fingerprints(shingles, "content").join(
         shingles.groupBy("content").agg(F.first("size").alias("size")), "content"
     )
-    item_prints = _fingerprints(items, "item_id").join(
-        items.groupBy("item_id").agg(F.first("size").alias("size")), "item_id"
+    item_prints = _fingerprints(items, "item").join(
+        items.groupBy("item").agg(F.first("size").alias("size")), "item"
     )
     left = contents.select("content", "size", "print", _blocks(F.col("print")).alias("b"))
     right = item_prints.select(
-        "item_id", "size", F.col("print").alias("item_print"), _blocks(F.col("print")).alias("b")
+        "item", "size", F.col("print").alias("item_print"), _blocks(F.col("print")).alias("b")
     )
     pairs = kept(
         left.join(right, ["size", "b"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select("content", "item_id")
+        .select("content", "item")
         .distinct()
     )
     counts = shingles.groupBy("content", "h").agg(F.count("*").alias("c"))
-    item_counts = items.groupBy("item_id", "h").agg(F.count("*").alias("d"))
+    item_counts = items.groupBy("item", "h").agg(F.count("*").alias("d"))
     both = (
         pairs.join(counts, "content")
-        .join(item_counts, ["item_id", "h"])
-        .groupBy("content", "item_id")
+        .join(item_counts, ["item", "h"])
+        .groupBy("content", "item")
         .agg(F.sum(F.least("c", "d")).alias("shared"))
         .join(shingles.groupBy("content").agg(F.count("*").alias("n")), "content")
-        .join(items.groupBy("item_id").agg(F.count("*").alias("m")), "item_id")
+        .join(items.groupBy("item").agg(F.count("*").alias("m")), "item")
     )
     similarity = F.col("shared") / (F.col("n") + F.col("m") - F.col("shared"))
     return (
         both.withColumn("similarity", similarity)
         .where(F.col("similarity") >= THRESHOLD)
-        .select("content", "item_id", "similarity")
+        .select("content", "item", "similarity")
     )
 
 
