@@ -105,6 +105,19 @@ def test_leaks_of_repeated_items(spark):
     assert [r.doc_id for r in decontaminate.clean(frame, benchmark).collect()] == [4]
 
 
+def test_no_leak_at_the_threshold_is_missed(spark):
+    """One changed word takes 5 of an item's 35 shingles: similarity 30 / 40."""
+    items, docs = [], []
+    for i in range(300):
+        words = [f"i{i}w{j}" for j in range(39)]
+        items.append((i, " ".join(words)))
+        words[4 + i % 31] = "changed"
+        docs.append((i, " ".join(["before", "it", *words, "after", "it"])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.similarity) for r in found) == [(i, i, 0.75) for i in range(300)]
+
+
 def test_secrets_of_edge_rows(rows, none):
     found = {(r.doc_id, r.spans) for r in secrets.secret_scan(rows).collect()}
     assert (1, "") in found and (2, "") in found

@@ -4,14 +4,15 @@ Texts are lower-cased and cut into words (runs of letters and digits), so case a
 punctuation don't hide a passage. A window of a document is as long as an item. Windows
 that share no shingle of five words with an item have similarity 0 to all; the others
 are found by joining shingle hashes and laid so that a shared shingle has its place in
-the item. Each distinct window text gets a 64-bit SimHash of its shingles, weighted by
-occurrence. Fingerprints are cut into ``BLOCKS`` blocks: two within ``RADIUS`` =
-BLOCKS - 1 bits agree in one block at least, so a join on (size, block, value) finds all
-of them. Those within the radius are verified by the exact weighted Jaccard similarity,
-sum of the smaller over sum of the larger occurrence counts, of their shingles.
+the item. The similarity is the exact weighted Jaccard similarity of the shingles, sum of
+the smaller over sum of the larger occurrence counts. At ``THRESHOLD`` = 3/4 and above,
+at most m // 4 of an item's m shingle occurrences have no partner in the window, so of
+any m // 4 + 1 of them (the item's prefix) the window holds one. Prefixes take the
+shingles fewest items have; a join of windows and prefixes on (size, shingle) finds every
+pair that can be alike, and these are verified.
 
-Hot passages: equal window texts are one row from before the fingerprints on, and no
-document is paired with another.
+Hot passages: equal window texts are one row from before that join on, and no document
+is paired with another.
 
 Defined results: NULL, empty or blank texts and texts of fewer than five words match
 nothing; items of fewer than five words are too short to tell a leak and match nothing.
@@ -23,21 +24,16 @@ there. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import broadcast_if_small, kept
 
 SHINGLE = 5
 THRESHOLD = 0.75
-BLOCKS = 16
-RADIUS = BLOCKS - 1
 #: Benchmark shingles that may be broadcast; beyond, the join shuffles.
 MOST_BROADCAST = 1_000_000
 
-_BITS = 64 // BLOCKS
-_LANES = 0x0001000100010001  # four 16-bit counters in a long
-
 
 def words(text: Column) -> Column:
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
@@ -56,32 +52,18 @@ def _shingles(words_: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _fingerprints(shingles: DataFrame, key: str) -> DataFrame:
-    """SimHash of each key's ``h``: a bit is set if it is in more than half of them.
-    Sixteen sums hold the 64 counters, four to a long."""
-    sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LANES))).alias(f"s{k}") for k in range(16)]
-    counted = shingles.groupBy(key).agg(F.count("*").alias("m"), *sums)
-    bits = F.lit(0).cast("long")
-    for k in range(16):
-        for lane in range(4):
-            count = F.shiftrightunsigned(f"s{k}", 16 * lane).bitwiseAND(F.lit(0xFFFF))
-            bit = F.when(2 * count > F.col("m"), F.lit(1)).otherwise(F.lit(0)).cast("long")
-            bits = bits.bitwiseOR(F.shiftleft(bit, 16 * lane + k))
-    return counted.select(key, bits.alias("print"))
-
-
-def _blocks(print_: Column) -> Column:
-    """(block, value) of each block of a fingerprint."""
-    return F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(b).alias("block"),
-                    F.shiftrightunsigned(print_, _BITS * b).bitwiseAND(F.lit((1 << _BITS) - 1)).alias("value"),
-                )
-                for b in range(BLOCKS)
-            )
-        )
+def _prefixes(item_counts: DataFrame) -> DataFrame:
+    """``(item, size, h)``: of each item with m shingle occurrences, the distinct shingles
+    of the m // 4 + 1 that fewest items have."""
+    items_with = item_counts.groupBy("h").agg(F.count("*").alias("items_with"))
+    of_item = Window.partitionBy("item")
+    before = of_item.orderBy("items_with", "h").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        item_counts.join(items_with, "h")
+        .withColumn("m", F.sum("d").over(of_item))
+        .withColumn("before", F.coalesce(F.sum("d").over(before), F.lit(0)))
+        .where(F.col("before") <= F.floor(F.col("m") / 4))
+        .select("item", "size", "h")
     )
 
 
@@ -144,26 +126,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _verified(shingles: DataFrame, items: DataFrame) -> DataFrame:
-    """``(content, item, similarity)`` of the pairs of equal size, near fingerprints and
-    enough similarity."""
-    contents = _fingerprints(shingles, "content").join(
-        shingles.groupBy("content").agg(F.first("size").alias("size")), "content"
-    )
-    item_prints = _fingerprints(items, "item").join(
-        items.groupBy("item").agg(F.first("size").alias("size")), "item"
-    )
-    left = contents.select("content", "size", "print", _blocks(F.col("print")).alias("b"))
-    right = item_prints.select(
-        "item", "size", F.col("print").alias("item_print"), _blocks(F.col("print")).alias("b")
-    )
-    pairs = kept(
-        left.join(right, ["size", "b"])
-        .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select("content", "item")
-        .distinct()
-    )
-    counts = shingles.groupBy("content", "h").agg(F.count("*").alias("c"))
-    item_counts = items.groupBy("item", "h").agg(F.count("*").alias("d"))
+    """``(content, item, similarity)`` of the pairs of equal size and enough similarity."""
+    counts = kept(shingles.groupBy("content", "size", "h").agg(F.count("*").alias("c")))
+    item_counts = kept(items.groupBy("item", "size", "h").agg(F.count("*").alias("d")))
+    prefixes = kept(_prefixes(item_counts))
+    prefixes = broadcast_if_small(prefixes, prefixes.count(), MOST_BROADCAST)
+    pairs = kept(counts.join(prefixes, ["size", "h"]).select("content", "item").distinct())
+    counts, item_counts = counts.drop("size"), item_counts.drop("size")
     both = (
         pairs.join(counts, "content")
         .join(item_counts, ["item", "h"])
