@@ -162,6 +162,19 @@ def test_licence_expressions():
     assert found[1:4] == (2, 10, 13) and found[5] == "gpl-2.0-only,mit,reserved" and found[6] == 0.0
 
 
+def test_long_licence_expressions_are_read_whole():
+    names = [f"mit-{i:04d}" for i in range(1000)]
+    text = f"spdx-license-identifier: {' AND '.join(names)} AND GPL-3.0\nAND AGPL-3.0 is another line"
+    found = licenses.scan(text)
+    assert found[5].split(",") == ["gpl-3.0", *names] and found[6] == 0.3
+    wide = licenses.scan("SPDX-License-Identifier:" + " " * 3000 + "GPL-3.0")
+    assert wide[5] == "gpl-3.0" and wide[6] == 0.3
+    both = licenses.scan("SPDX-License-Identifier: MIT OR SPDX-License-Identifier: GPL-3.0")
+    assert both[5] == "gpl-3.0,mit" and both[6] == 0.3
+    many = licenses.scan("SPDX-License-Identifier: MIT OR " * 30_000)
+    assert many[5] == "mit" and many[6] == 0.95
+
+
 def test_quality_of_edge_rows(spark, rows, none):
     labels = spark.createDataFrame([(4, 1, 0), (7, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     out = quality.with_quality(rows, labels)

@@ -4,8 +4,8 @@ licence expressions evaluated by a shunting-yard parser.
 Text is lower-cased (A-Z) and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. Phrases
 are matched on the words in one pass of an Aho-Corasick automaton, so a phrase is found
 across any punctuation and line break. ``SPDX-License-Identifier:`` tags are found by an
-automaton on the text itself; the expression after the tag is parsed, and every licence
-in it becomes a label.
+automaton on the text itself; the expression after the tag, up to the end of the line or
+the next tag, is parsed whole, and every licence in it becomes a label.
 
 The score says how freely a text may be used by what it says of itself: AND takes the
 strictest part, OR the freest, WITH an exception moves a licence half-way to 1; several
@@ -78,8 +78,6 @@ FREEDOM = {
 }
 UNSAID = 0.5
 TAG = "spdx-license-identifier:"
-#: Longest expression read after a tag.
-LONGEST = 2000
 
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
@@ -178,9 +176,11 @@ def scan(text: str | None) -> tuple[int, int, int | None, int | None, str, str,
     values = [freedom(x) for x in labels if x != "licensed"]
     lowered = raw.lower().decode("latin-1")
     if TAG in lowered:
-        for end, _ in _TAGS.iter(lowered):
-            expression = lowered[end + 1 : end + 1 + LONGEST].lstrip(" \t").split("\n", 1)[0]
-            names, value = evaluate(_expression(expression))
+        starts = [end + 1 for end, _ in _TAGS.iter(lowered)]
+        # no expression runs over the next tag, so each byte is read once
+        for start, after in zip(starts, [*(s - len(TAG) for s in starts[1:]), len(lowered)], strict=True):
+            stop = lowered.find("\n", start, after)
+            names, value = evaluate(_expression(lowered, start, after if stop < 0 else stop))
             labels.update(names)
             values.append(value)
     return (
@@ -194,10 +194,11 @@ def scan(text: str | None) -> tuple[int, int, int | None, int | None, str, str,
     )
 
 
-def _expression(text: str) -> str:
-    """The start of ``text`` that reads as an expression: operands joined by operators."""
-    end, depth, need = 0, 0, True
-    for match in _TOKEN.finditer(text):
+def _expression(text: str, start: int, stop: int) -> str:
+    """The start of ``text[start:stop]`` that reads as an expression: operands joined by
+    operators."""
+    end, depth, need = start, 0, True
+    for match in _TOKEN.finditer(text, start, stop):
         if text[end : match.start()].strip(" \t"):
             break
         token = match[0]
@@ -216,7 +217,7 @@ def _expression(text: str) -> str:
         else:
             break
         end = match.end()
-    return text[:end]
+    return text[start:end]
 
 
 _FIELDS = T.StructType(
