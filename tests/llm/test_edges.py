@@ -319,3 +319,18 @@ def test_hot_copies_and_near_copies(spark):
     found = {r.doc_id: r.component_id for r in ngram_join.similar_components(frame).collect()}
     assert {found[d] for d, _ in near} == {0} and {found[d] for d, _ in same} == {1000}
     assert all(found[d] == d for d, _ in other)
+
+
+def test_shingles_hot_in_one_chunk_only(spark, monkeypatch):
+    """150 groups of near copies, each in a chunk of its own, and a passage all rows have:
+    only its six shingles come to the driver."""
+    sent, dealt = [], ngram_join._dealt
+    monkeypatch.setattr(ngram_join, "_dealt", lambda hot, *rest: sent.append(len(hot)) or dealt(hot, *rest))
+    words = "transform(sequence(1, 60), j -> concat('g', id div 20, 'w', j))"
+    passage = " ".join(f"c{j}" for j in range(10))
+    frame = spark.range(0, 3000, 1, 150).selectExpr(
+        "id AS doc_id", f"concat_ws(' ', '{passage}', array_join({words}, ' '), concat('last', id)) AS text"
+    )
+    found = {r.doc_id: r.component_id for r in ngram_join.similar_components(frame).collect()}
+    assert found == {d: d - d % 20 for d in range(3000)}
+    assert set(sent) == {6}

@@ -44,8 +44,9 @@ from tidemark.llm.components import connected_components
 from tidemark.llm.settrie import SetTrie
 from tidemark.llm.shingles import mix, shingle_sets
 
-#: Share of a batch's rows that makes a shingle hot. Fewer than (shingles a document) /
-#: HOT_SHARE shingles can be hot, however many documents there are.
+#: Share of a chunk's rows that makes a shingle hot there; one found so in half that share
+#: of all documents is hot. Fewer than 2 * (mean shingles a document) / HOT_SHARE shingles
+#: can be, however many documents there are and however they are ordered.
 HOT_SHARE = 1 / 64
 #: Fewest rows of a batch, for a shingle to be hot.
 HOT_ROWS = 16
@@ -340,8 +341,13 @@ def representatives(documents: DataFrame) -> DataFrame:
 def _shared_sets(texts: DataFrame, summaries: DataFrame) -> DataFrame:
     """Classes of which three quarters of the shingles are shared: sig, n, and the shared
     shingles in global order with their frequencies."""
-    found = (  # bounded, see HOT_SHARE
-        summaries.where("token IS NOT NULL").groupBy("token").agg(F.sum("rows").alias("rows")).collect()
+    documents = summaries.where("token IS NULL AND n_shingles > 0").count()
+    found = (  # bounded, see HOT_SHARE; the others are dealt by shingle
+        summaries.where("token IS NOT NULL")
+        .groupBy("token")
+        .agg(F.sum("rows").alias("rows"))
+        .where(F.col("rows") >= HOT_SHARE / 2 * documents)
+        .collect()
     )
     hot = np.array(sorted((r["token"], r["rows"]) for r in found), dtype=np.int64).reshape(-1, 2)
     hot, hot_rows = hot[:, 0].copy().view(np.uint64), hot[:, 1]
