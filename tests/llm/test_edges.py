@@ -285,6 +285,26 @@ def test_neighbours_of_edge_rows(spark):
     assert neighbours.nearest(frame.limit(0), frame.limit(0), 20).count() == 0
 
 
+@pytest.mark.parametrize("seeds", [4096, 25])
+def test_neighbours_of_repeated_ids(spark, monkeypatch, seeds):
+    """Ids with equal and with unlike vectors, all of them seeds and most of them not."""
+    monkeypatch.setattr(neighbours, "SEEDS", seeds)
+    monkeypatch.setattr(neighbours, "PROBED", 1.0)
+    generator = np.random.default_rng(17)
+    rows = [(i, generator.normal(size=4).round(3).tolist()) for i in range(1, 60)]
+    equal = [(100 + i, [4.0 + i, 1.0, 0.0, 0.0]) for i in range(5) for _ in range(3)]
+    unlike = [(200 + i, [3.0 - j, float(i), 0.0, 0.0]) for i in range(5) for j in range(3)]
+    query = (0, [1.0, 0.25, 0.0, 0.0])
+    frame = spark.createDataFrame([query, *rows, *equal, *unlike], "vec_id long, embedding array<float>")
+    found = neighbours.nearest(frame, frame.where("vec_id = 0"), 24).orderBy("rank").collect()
+    candidates = [*rows, *equal, *unlike]
+    scores = [(float(np.dot(np.float32(v).astype(float), query[1])), i) for i, v in candidates]
+    best = sorted(scores, key=lambda s: (-s[0], s[1]))[:24]
+    assert [r.rank for r in found] == list(range(1, 25))
+    assert [r.score for r in found] == pytest.approx([s for s, _ in best])
+    assert sorted(r.vec_id for r in found) == sorted(i for _, i in best)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(500, 500)], "a long, b long"))
     found = components.connected_components(edges).collect()

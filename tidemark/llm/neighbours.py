@@ -13,8 +13,8 @@ best of its block, and only these are ranked.
 
 Defined results: vectors that are NULL, zero, or hold NULL or non-finite components, that
 lack an id, or whose length is not the most frequent one, take no part. Equal scores go
-by smaller vec_id; repeated vec_ids are candidates each, save the query's own id. An empty
-table gives no rows. Other columns are ignored.
+by smaller vec_id; repeated vec_ids are candidates each, with equal and with unlike vectors,
+save the query's own id. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,6 +53,11 @@ def _usable(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(vectors: DataFrame) -> DataFrame:
+    """With ``key``, which tells the unlike vectors of one vec_id apart."""
+    return vectors.withColumn("key", F.xxhash64("embedding"))
+
+
 def _rotation(width: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(7).normal(size=(width, width)))
     return q * np.sign(np.diag(r))
@@ -89,16 +94,23 @@ def _listed(centres: np.ndarray):
         for batch in batches:
             x = _matrix(batch.column("embedding"), centres.shape[1]).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("embedding"), pa.array(_nearest(x, centres), pa.int32())],
-                names=["vec_id", "embedding", "list"],
+                [
+                    batch.column("vec_id"),
+                    batch.column("key"),
+                    batch.column("embedding"),
+                    pa.array(_nearest(x, centres), pa.int32()),
+                ],
+                names=["vec_id", "key", "embedding", "list"],
             )
 
     return place
 
 
-def _probed(centres: np.ndarray, probes: int, seeds: np.ndarray, seed_ids: np.ndarray, k: int):
+def _probed(centres: np.ndarray, probes: int, seeds: np.ndarray, seed_rows: pd.DataFrame, k: int):
     """Each query with the lists it scans and the kth best score of the seeds, and with the
-    best seeds themselves (``list`` NULL)."""
+    best seeds themselves (``list`` NULL). Of ``seeds`` no two have id and vector equal;
+    ``seed_rows`` has the vec_id, key and number of copies of each."""
+    seed_ids, seed_keys, seed_copies = (seed_rows[c].to_numpy() for c in ("vec_id", "key", "copies"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,9 +136,11 @@ def _probed(centres: np.ndarray, probes: int, seeds: np.ndarray, seed_ids: np.nd
                     pa.array(near.reshape(-1).tolist() + absent, pa.int32()),
                     pa.array(least[rows].tolist() + absent, pa.float64()),
                     pa.array(blank + seed_ids[chosen].tolist(), pa.int64()),
+                    pa.array(blank + seed_keys[chosen].tolist(), pa.int64()),
+                    pa.array(blank + seed_copies[chosen].tolist(), pa.int64()),
                     pa.array(blank + exact.tolist(), pa.float64()),
                 ],
-                names=["query_id", "embedding", "list", "least", "vec_id", "score"],
+                names=["query_id", "embedding", "list", "least", "vec_id", "key", "copies", "score"],
             )
 
     return place
@@ -186,22 +200,26 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return spark.createDataFrame([], result)
     width, total = common["width"], common["count"]
     usable = usable.where(F.size("embedding") == width)
+    usable = _keyed(usable)
     # ids first, so that no more than the sample's vectors are sent
-    chosen = usable.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
-    rows = usable.join(F.broadcast(chosen), "vec_id").dropDuplicates(["vec_id"]).toPandas().sort_values("vec_id")
-    sample, sample_ids = np.stack(rows["embedding"].to_list()).astype(np.float64), rows["vec_id"].to_numpy()
+    chosen = usable.groupBy("vec_id", "key").agg(F.count("*").alias("copies"))
+    chosen = chosen.orderBy(F.xxhash64("vec_id", "key"), "vec_id", "key").limit(SAMPLE)
+    rows = usable.join(F.broadcast(chosen), ["vec_id", "key"]).dropDuplicates(["vec_id", "key"]).toPandas()
+    rows = rows.sort_values(["vec_id", "key"])
+    sample = np.stack(rows["embedding"].to_list()).astype(np.float64)
     picked = np.random.default_rng(13).permutation(len(sample))[:SEEDS]
-    seeds, seed_ids = sample[picked], sample_ids[picked]
+    seeds, seed_rows = sample[picked], rows[["vec_id", "key", "copies"]].iloc[picked]
     centres = _centroids(sample, max(1, min(MOST_LISTS, round(math.sqrt(total) / 2))))
     probes = max(LEAST_PROBED, math.ceil(PROBED * len(centres)))
     rotation = _rotation(width)
 
-    listed = kept(usable.mapInArrow(_listed(centres), "vec_id long, embedding array<float>, list int"))
+    listed = kept(usable.mapInArrow(_listed(centres), "vec_id long, key long, embedding array<float>, list int"))
     asked = _usable(queries).where(F.size("embedding") == width)
     started = kept(
         asked.mapInArrow(
-            _probed(centres, probes, seeds, seed_ids, k),
-            "query_id long, embedding array<float>, list int, least double, vec_id long, score double",
+            _probed(centres, probes, seeds, seed_rows, k),
+            "query_id long, embedding array<float>, list int, least double,"
+            " vec_id long, key long, copies long, score double",
         )
     )
     probing = started.where("list IS NOT NULL").select("query_id", "embedding", "list", "least")
@@ -215,7 +233,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     stored = listed.join(cuts, "list").select(
         "list", F.pmod(F.xxhash64("vec_id"), "blocks").alias("block"), numbers("groups").alias("group"),
-        "vec_id", "embedding",
+        "vec_id", "key", "embedding",
     )
     scanning = probing.join(cuts, "list").select(
         "list", numbers("blocks").alias("block"), F.pmod(F.xxhash64("query_id"), "groups").alias("group"),
@@ -224,20 +242,36 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": int, "vec_id": int})
+            return pd.DataFrame({"query_id": [], "vec_id": [], "key": [], "score": []}).astype(
+                {"query_id": int, "vec_id": int, "key": int}
+            )
         ids, query_ids = left["vec_id"].to_numpy(), right["query_id"].to_numpy()
         x = np.stack(left["embedding"].to_list()).astype(np.float64)
         q = np.stack(right["embedding"].to_list()).astype(np.float64)
         rows, columns, scores = scan_block(q, query_ids, right["least"].to_numpy(), x, ids, rotation, k)
-        return pd.DataFrame({"query_id": query_ids[rows], "vec_id": ids[columns], "score": scores})
+        return pd.DataFrame(
+            {
+                "query_id": query_ids[rows],
+                "vec_id": ids[columns],
+                "key": left["key"].to_numpy()[columns],
+                "score": scores,
+            }
+        )
 
     keys = ["list", "block", "group"]
     found = stored.groupBy(*keys).cogroup(scanning.groupBy(*keys)).applyInPandas(
-        scan, "query_id long, vec_id long, score double"
+        scan, "query_id long, vec_id long, key long, score double"
+    )
+    # a seed is also found in its list; its copies are a candidate each
+    seeded = started.where("list IS NULL").select("query_id", "vec_id", "key", "copies", "score")
+    found = (
+        found.join(seeded.select("query_id", "vec_id", "key"), ["query_id", "vec_id", "key"], "left_anti")
+        .select("query_id", "vec_id", "score")
+        .union(
+            seeded.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))))
+            .select("query_id", "vec_id", "score")
+        )
     )
-    # a seed is also found in its list; equal scores of one id are one candidate
-    seeded = started.where("list IS NULL").select("query_id", "vec_id", "score")
-    found = found.join(seeded.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_anti").union(seeded)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
