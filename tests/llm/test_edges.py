@@ -118,6 +118,14 @@ def test_no_leak_at_the_threshold_is_missed(spark):
     assert sorted((r.doc_id, r.item_id, r.similarity) for r in found) == [(i, i, 0.75) for i in range(300)]
 
 
+def test_leak_of_a_long_item(spark):
+    text = " ".join(f"long{i}" for i in range(70_000))
+    benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a b {text} c"), (2, "a b c d e f")], "doc_id long, text string")
+    found = decontaminate.leaks(docs, benchmark).collect()
+    assert [(r.doc_id, r.item_id, r.similarity) for r in found] == [(1, 1, 1.0)]
+
+
 def test_secrets_of_edge_rows(rows, none):
     found = {(r.doc_id, r.spans) for r in secrets.secret_scan(rows).collect()}
     assert (1, "") in found and (2, "") in found
