@@ -76,6 +76,25 @@ def broadcast_if_small(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+#: A key of more than this share of the rows is hot: fewer than a thousand can be.
+HOT_KEY = 1 / 1000
+
+
+def join_one_each(rows: DataFrame, one: DataFrame, key: str, most: int = 100_000) -> DataFrame:
+    """``rows`` with what ``one``, which has a row per ``key``, holds for theirs (NULL if
+    nothing). ``one`` is broadcast if it has no more than ``most`` rows. Else its rows for
+    hot keys are, and only rows of other keys are shuffled by key."""
+    if one.count() <= most:
+        return rows.join(F.broadcast(one), key, "left")
+    rows = kept(rows)
+    counts = rows.groupBy(key).agg(F.count("*").alias("_rows"))
+    hot = kept(counts.where(F.col("_rows") > max(1, int(rows.count() * HOT_KEY))).select(key))
+    ours = kept(one.join(F.broadcast(hot), key, "left_semi"))
+    often = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(ours), key, "left")
+    rest = rows.join(F.broadcast(hot), key, "left_anti").join(one, key, "left")
+    return often.unionByName(rest)
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

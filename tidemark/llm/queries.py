@@ -10,6 +10,7 @@ from tidemark.llm import (
     chat,
     decontaminate,
     licenses,
+    merkle,
     mixing,
     neighbours,
     ngram_join,
@@ -69,6 +70,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,7 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_token_counts,
         op10_mixing,
+        op11_merkle_manifest,
     )
 }
 
-ORACLE: dict[str, str] = {"op3_chat_format": chat.SQL, "op4_warc": warc.SQL, "op10_mixing": mixing.SQL}
+ORACLE: dict[str, str] = {"op3_chat_format": chat.SQL, "op4_warc": warc.SQL, "op10_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL}
