@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept
+from tidemark.llm.common import join_one_each, kept
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round hooks every root to its smallest neighbouring root, collapses the
     resulting trees by pointer doubling, and keeps the edges between different roots.
-    Rows only shrink from round to round; each round is checkpointed.
+    Rows only shrink from round to round; each round is checkpointed. Joins are on nodes that
+    can have any number of rows, such as the root of a large component, so hot ones are
+    joined without a shuffle.
     """
     edges = kept(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b").distinct())
     labels = kept(
@@ -31,14 +33,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
         )
         parents = _collapsed(parents)
         labels = kept(
-            labels.join(parents.withColumnRenamed("node", "root"), "root", "left").select(
+            join_one_each(labels, parents.withColumnRenamed("node", "root"), "root").select(
                 "node", F.coalesce("parent", "root").alias("root")
             )
         )
         for end in ("a", "b"):
-            edges = edges.join(parents.withColumnRenamed("node", end), end).drop(end).withColumnRenamed(
-                "parent", end
-            )
+            edges = join_one_each(edges, parents.withColumnRenamed("node", end), end).drop(end)
+            edges = edges.withColumnRenamed("parent", end)
         edges = kept(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     return labels
 
@@ -48,7 +49,7 @@ def _collapsed(parents: DataFrame) -> DataFrame:
     while True:
         above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("top"))
         jumped = kept(
-            parents.join(above, "parent").select(
+            join_one_each(parents, above, "parent").select(
                 "node", F.col("top").alias("parent"), (F.col("top") != F.col("parent")).alias("moved")
             )
         )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     chat,
+    collocations,
     decontaminate,
     licenses,
     merkle,
@@ -16,6 +17,7 @@ from tidemark.llm import (
     ngram_join,
     quality,
     secrets,
+    simhash,
     token_counts,
     warc,
 )
@@ -74,6 +76,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_report(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,7 +98,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_mixing,
         op11_merkle_manifest,
+        op12_collocations,
+        op13_simhash_neardup,
     )
 }
 
-ORACLE: dict[str, str] = {"op3_chat_format": chat.SQL, "op4_warc": warc.SQL, "op10_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL}
+ORACLE: dict[str, str] = {
+    "op3_chat_format": chat.SQL,
+    "op4_warc": warc.SQL,
+    "op10_mixing": mixing.SQL,
+    "op11_merkle_manifest": merkle.SQL,
+    "op12_collocations": collocations.SQL,
+}
