@@ -140,7 +140,7 @@ def finer_masks(used: int, blocks: int, radius: int = RADIUS) -> list[int]:
 
 
 def _enough_blocks(n: int) -> int:
-    blocks = 1
+    blocks = 2
     while n > FILL << (BITS * blocks // (RADIUS + blocks)) and blocks < 2 * RADIUS:
         blocks += 1
     return blocks
