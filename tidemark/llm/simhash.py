@@ -148,18 +148,11 @@ def _enough_blocks(n: int) -> int:
 
 def linked(fps: DataFrame) -> DataFrame:
     """``(node, root)`` for every fingerprint linked to another; ``fps(fp)``, without repeats."""
-    spark, n = fps.sparkSession, fps.count()
-    masks = {0: finer_masks(0, _enough_blocks(n))}
-    rows = fps.withColumn("mask", F.lit(0).cast("long"))
-    roots = None
+    n, roots = fps.count(), None
+    masks = finer_masks(0, _enough_blocks(n))
+    rows = fps.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
     while True:
-        finer = spark.createDataFrame(
-            [(_signed(used), [_signed(m) for m in many]) for used, many in masks.items()],
-            "mask long, finer array<long>",
-        )
-        # Two ways can lead to one bucket.
-        rows = kept(rows.join(F.broadcast(finer), "mask").select("fp", F.explode("finer").alias("mask")).distinct())
-        rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
+        rows = kept(rows).withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         found = kept(_compared(rows))
         edges = found.where("a IS NOT NULL").select("a", "b")
         if roots is not None:
@@ -169,11 +162,17 @@ def linked(fps: DataFrame) -> DataFrame:
         rows, pairs = _unsettled(rows, crowded, roots)
         if pairs == 0:
             return roots
-        finest = min(BITS - m.bit_count() for many in masks.values() for m in many)
+        finest = min(BITS - m.bit_count() for m in masks)
         if finest <= FEW_BITS or pairs <= max(LEAST_PAIRS, PAIRS_EACH * n):
             return connected_components(_remaining(rows).union(roots))
-        masks = {m: finer_masks(m, 2) for m in {m for many in masks.values() for m in many}}
-        rows = rows.select("fp", "mask").distinct()
+        finer = {m: finer_masks(m, 2) for m in masks}
+        masks = sorted({m for many in finer.values() for m in many})
+        ways = fps.sparkSession.createDataFrame(
+            [(_signed(used), [_signed(m) for m in many]) for used, many in finer.items()],
+            "mask long, finer array<long>",
+        )
+        # Two ways can lead to one bucket.
+        rows = rows.join(F.broadcast(ways), "mask").select("fp", F.explode("finer").alias("mask")).distinct()
 
 
 def _compared(rows: DataFrame) -> DataFrame:
