@@ -236,3 +236,63 @@ def test_no_query_runs_python_on_rows(spark):
     for name in ("bronze_fixture", "silver_full", "gold_by_hour", "precombine_events", "batch_metadata"):
         text = plan(QUERIES[name](spark, SF_DIR))
         assert "Python" not in text and "CartesianProduct" not in text
+
+
+def test_clustered_files_skip_row_groups_by_either_column(spark, folder):
+    """Two columns of no common order; a filter on either reads a part of the rows."""
+    spec = TableSpec(partition_fields=("dt",), record_key="id", ordering_field="id")
+    rows = spark.range(0, 120_000, 1, 4).selectExpr(
+        "id", "'d' AS dt", "id * 7919 % 120000 AS x", "sha2(string(id), 256) AS y", "1L AS _commit_us"
+    )
+    spark.conf.set("parquet.block.size", "65536")
+    try:
+        bulk_insert(rows, folder, spec, cluster_by=("x", "y"))
+    finally:
+        spark.conf.unset("parquet.block.size")
+    stored = snapshot(spark, folder, spec)
+    for condition in ("x BETWEEN 1000 AND 1500", "y BETWEEN '80' AND '81'"):
+        part = stored.where(condition).agg(F.count("id"))
+        assert part.first()[0] == rows.where(condition).count() > 0
+        assert scanned(part) < 60_000
+    assert stored.count() == 120_000
+
+
+def test_files_older_than_the_range_are_not_opened(spark, folder):
+    import os
+    import time
+
+    spec = TableSpec(partition_fields=("dt",), record_key="id", ordering_field="id")
+    frame = spark.createDataFrame([(1, "d")], "id long, dt string")
+    now = int(time.time() * 1e6)
+    insert(frame, folder, spec, now - 5 * 3600 * 1_000_000)
+    (old,) = Path(folder).rglob("*.parquet")
+    aged = time.time() - 4 * 3600
+    os.utime(old, (aged, aged))
+    insert(frame, folder, spec, now)
+    fresh = incremental(spark, folder, spec, now - 3600 * 1_000_000, now)
+    assert len(fresh.inputFiles()) == 1 and fresh.count() == 1
+    assert incremental(spark, folder, spec, 0, now).count() == 2
+    # nothing that new: the columns are known all the same
+    later = incremental(spark, folder, spec, now + 3 * 3600 * 1_000_000, now + 4 * 3600 * 1_000_000)
+    assert later.columns == fresh.columns and later.count() == 0
+    with pytest.raises(ValueError, match="ahead of the clock"):
+        insert(frame, folder, spec, now + 3600 * 1_000_000)
+
+
+def test_stored_keys_outside_the_batch_are_skipped(spark, folder):
+    """The match reads the row groups whose keys the batch's range meets."""
+    from tidemark.operators.merge import stored_versions
+    from tidemark.sources.writers import _key_range
+
+    spec = TableSpec(partition_fields=("dt",), record_key="id", ordering_field="id")
+    spark.conf.set("parquet.block.size", "65536")
+    try:
+        bulk_insert(spark.range(0, 200_000, 1, 1).selectExpr("id", "'d' AS dt", "sha2(string(id), 256) AS v"), folder, spec, 1)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    batch = spark.range(500, 700).selectExpr("id", "'d' AS dt", "'new' AS v")
+    existing = read_table(spark, folder, spec, also=batch.schema)
+    assert scanned(stored_versions(_key_range(existing, (500, 699), spec), batch, spec)) < 50_000
+    report = upsert(batch, folder, spec, 2)
+    assert (report.rows, report.written) == (200, 200)
+    assert snapshot(spark, folder, spec).where("v = 'new'").count() == 200

@@ -16,9 +16,9 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import COMMIT_TIME
 from tidemark.operators.silver import to_silver
 from tidemark.plans.batch import BatchWindow, read_audit, with_batch_metadata
-from tidemark.plans.layers import REFRESH, run_batch
-from tidemark.sources.readers import incremental, snapshot
-from tidemark.sources.writers import bulk_insert, insert, upsert
+from tidemark.plans.layers import REFRESH, TOTALS, run_batch
+from tidemark.sources.readers import incremental, snapshot, table_exists
+from tidemark.sources.writers import bulk_insert, insert, remove, upsert
 from tidemark.spec import BRONZE_SPEC, COMMIT_COL, SILVER_SPEC, Lake
 from tidemark.streaming.arrivals import run_stream
 
@@ -294,18 +294,21 @@ def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pick(snapshot(spark, path, SILVER_SPEC), *_SILVER)
 
 
-def gold_refresh_emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """After all windows, every amount of the first day is corrected to an invalid one."""
-    lake = _run_batches(spark, sf_dir, gold_mode=REFRESH)
-    rows = bronze_rows(spark, sf_dir)
-    first_day = rows.agg(F.min("transaction_date")).first()[0]
-    end = commit_windows(rows)[-1].end_us
-    corrected = rows.where(F.col("transaction_date") == first_day).withColumns(
-        {"amount": F.lit("-1"), "ts": F.col("ts") + F.expr("INTERVAL 2 DAY")}
-    )
-    insert(corrected, lake.path(lake.bronze_table), lake.spec(lake.bronze_table), end + 1)
-    run_batch(spark, lake, BatchWindow(end, end + 1), as_of=from_micros(end + 1), gold_mode=REFRESH)
-    return _pick(_stored(spark, lake, lake.gold_table("by_category")), *_CATEGORY)
+def _gold_after_an_emptied_day(mode: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """After all windows, every amount of the first day is corrected to an invalid one."""
+        lake = _run_batches(spark, sf_dir, gold_mode=mode)
+        rows = bronze_rows(spark, sf_dir)
+        first_day = rows.agg(F.min("transaction_date")).first()[0]
+        end = commit_windows(rows)[-1].end_us
+        corrected = rows.where(F.col("transaction_date") == first_day).withColumns(
+            {"amount": F.lit("-1"), "ts": F.col("ts") + F.expr("INTERVAL 2 DAY")}
+        )
+        insert(corrected, lake.path(lake.bronze_table), lake.spec(lake.bronze_table), end + 1)
+        run_batch(spark, lake, BatchWindow(end, end + 1), as_of=from_micros(end + 1), gold_mode=mode)
+        return _pick(_stored(spark, lake, lake.gold_table("by_category")), *_CATEGORY)
+
+    return run
 
 
 def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +331,53 @@ def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pick(_stored(spark, lake, lake.silver_table), *_SILVER)
 
 
+def table_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tables are there after a batch; one was never written."""
+    lake = _run_batches(spark, sf_dir)
+    names = (lake.bronze_table, lake.silver_table, lake.gold_table("by_category"), lake.gold_table("by_day"))
+    found = [(name, table_exists(spark, lake.path(name), lake.spec(name))) for name in names]
+    return spark.createDataFrame(found, "table_name string, present boolean")
+
+
+def stream_epoch_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An epoch's audit row is lost, so the same files come again under another stream."""
+    base = workspace(spark)
+    lake, arrivals = Lake(f"{base}/tables"), f"{base}/arrivals"
+    arriving = bronze_rows(spark, sf_dir)
+    arriving.write.parquet(arrivals)
+    for step in (1, 2):
+        if step == 2:
+            remove(spark, lake.path(lake.audit_table))
+        run_stream(
+            spark, lake, arrivals, arriving.schema, f"{base}/checkpoint-{step}", available_now=True,
+            clock=lambda _epoch: from_micros(7),
+        ).awaitTermination()
+    return _pick(_stored(spark, lake, lake.silver_table), *_SILVER)
+
+
+def stream_then_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Originals wait in bronze while corrections are streamed into the same lake; the
+    scheduled batch then takes the originals, all of them."""
+    base = workspace(spark)
+    lake, arrivals = Lake(f"{base}/tables"), f"{base}/arrivals"
+    originals, corrections = _originals(spark, sf_dir), _corrections(spark, sf_dir)
+    insert(originals, lake.path(lake.bronze_table), lake.spec(lake.bronze_table))
+    corrections.write.parquet(arrivals)
+    last = commit_windows(bronze_rows(spark, sf_dir), 1)[0].end_us
+    run_stream(
+        spark, lake, arrivals, corrections.schema, f"{base}/checkpoint", available_now=True,
+        clock=lambda _epoch: from_micros(last + 1),
+    ).awaitTermination()
+    run_batch(spark, lake, as_of=from_micros(last + 2))
+    return _pick(_stored(spark, lake, lake.silver_table), *[c for c in _SILVER if c != COMMIT_COL])
+
+
+def bulk_insert_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark)
+    bulk_insert(_silver(spark, sf_dir), path, SILVER_SPEC, cluster_by=("ts", "customer_id"))
+    return _pick(snapshot(spark, path, SILVER_SPEC), *_SILVER)
+
+
 QUERIES: dict[str, Query] = {
     "bronze_fixture": bronze_rows,
     "silver_processed_at": _silver_columns("processed_at"),
@@ -364,7 +414,14 @@ QUERIES: dict[str, Query] = {
     "gold_refresh": _gold_after_batches("by_category", _CATEGORY, gold_mode=REFRESH),
     "gold_refresh_by_hour": _gold_after_batches("by_hour", _HOUR, gold_mode=REFRESH),
     "gold_processed_at": _gold_after_batches("by_category", ("category_code", "dt", "processed_at")),
-    "gold_refresh_emptied_day": gold_refresh_emptied_day,
+    "gold_refresh_emptied_day": _gold_after_an_emptied_day(REFRESH),
+    "gold_totals": _gold_after_batches("by_category", _CATEGORY, gold_mode=TOTALS),
+    "gold_totals_by_hour": _gold_after_batches("by_hour", _HOUR, gold_mode=TOTALS),
+    "gold_totals_emptied_day": _gold_after_an_emptied_day(TOTALS),
+    "table_probe": table_probe,
+    "stream_epoch_replay": stream_epoch_replay,
+    "stream_then_scheduled": stream_then_scheduled,
+    "bulk_insert_clustered": bulk_insert_clustered,
     "scheduled_batches": scheduled_batches,
     "backfill_older_window": backfill_older_window,
     "bronze_new_column": bronze_new_column,

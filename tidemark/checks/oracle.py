@@ -220,4 +220,17 @@ SELECT {_silver_list("CASE WHEN batch = 1 THEN last_us + 1 ELSE end_us END")} FR
 SELECT {_silver_list("end_us")}, CASE WHEN ver = 1 THEN concat('c', id) END AS extra FROM stored""",
     "upsert_replay": _two_upserts("ts DESC, ver DESC", 0),
     "stream_available_now": _two_upserts("ts DESC, ver DESC", 0),
+    "gold_totals": _refreshed(_by_category("dayed", "day_batch_id")),
+    "gold_totals_by_hour": _refreshed(_by_hour("dayed", "day_batch_id")),
+    "gold_totals_emptied_day": _refreshed(_by_category("dayed", "day_batch_id"))
+    + " AND dt <> (SELECT min(dt) FROM silver)",
+    "table_probe": """SELECT * FROM (VALUES ('bronze_events', true), ('silver_events', true),
+  ('gold_agg_by_category', true), ('gold_agg_by_day', false)) AS t(table_name, present)
+WHERE (SELECT count(*) FROM events) > 0""",
+    "stream_epoch_replay": f"""WITH {_SILVER_SQL}
+SELECT {_silver_list("cast(7 AS bigint)")} FROM silver QUALIFY {_LATEST}""",
+    "stream_then_scheduled": f"""WITH {_SILVER_SQL}
+SELECT * EXCLUDE ({COMMIT_COL}) FROM (SELECT {_silver_list()} FROM silver
+QUALIFY ROW_NUMBER() OVER (PARTITION BY dt, category_code, id ORDER BY ts DESC, ver ASC) = 1)""",
+    "bulk_insert_clustered": f"WITH {_SILVER_SQL} SELECT {_silver_list()} FROM silver",
 }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.casts import hour_of
 from tidemark.functions.marks import instant
+from tidemark.operators.states import deviation
 
 GROUP_KEYS = {"by_category": ("category_code", "dt"), "by_hour": ("dt", "hour")}
 
@@ -74,6 +75,23 @@ def by_hour(silver: DataFrame, batch_id: str, as_of: datetime | None = None) ->
     return _tag(groups, keys, batch_id, as_of)
 
 
+def from_states(states: DataFrame, name: str, batch_id: str, as_of: datetime | None = None) -> DataFrame:
+    """The same rows from the states of their groups (``operators.states``)."""
+    keys, total = GROUP_KEYS[name], F.when(F.col("n") > 0, F.col("total"))
+    columns = {"transaction_count": F.col("rows"), "total_amount": total}
+    if name == "by_category":
+        columns |= {
+            "avg_amount": total / F.col("n"),
+            "max_amount": F.col("most"),
+            "min_amount": F.col("least"),
+            "stddev_amount": deviation(),
+        }
+    else:
+        columns["unique_customers"] = F.col("uniques")
+    groups = states.select(*keys, *[column.alias(name) for name, column in columns.items()])
+    return _tag(groups, keys, batch_id, as_of)
+
+
 def aggregations(silver: DataFrame, batch_id: str, as_of: datetime | None = None) -> dict[str, DataFrame]:
     return {
         "by_category": by_category(silver, batch_id, as_of),

@@ -35,3 +35,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ordering: str) -> DataFra
     order = [F.col(ordering).desc_nulls_last(), *[_sortable(f).desc_nulls_last() for f in rest]]
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+
+
+def latest_and_times(df: DataFrame, keys: Sequence[str], ordering: str, times: str) -> DataFrame:
+    """As :func:`latest_per_key`, with the number of versions each key had in ``times``.
+
+    An aggregate, as a rank limit would forget the versions it drops: each task sends a
+    key's greatest version and their number.
+    """
+    rest = [f for f in df.schema.fields if f.name not in keys and f.name != ordering]
+    order = F.struct(F.col(ordering), *[_sortable(f).alias(f.name) for f in rest])
+    if any(_has_map(f.dataType) for f in rest):
+        latest = F.max_by(F.struct(ordering, *[f.name for f in rest]), order)
+    else:
+        latest = F.max(order)
+    found = df.groupBy(*keys).agg(latest.alias("_latest"), F.count(F.lit(1)).alias(times))
+    columns = [F.col(c) if c in keys else F.col("_latest")[c].alias(c) for c in df.columns]
+    return found.select(*columns, times)

@@ -17,14 +17,36 @@ def _prefixed(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(_INCOMING + c) for c in columns])
 
 
+def _compared(spec: TableSpec) -> list[str]:
+    """The columns that decide which version of a row stands."""
+    return list(dict.fromkeys((*spec.keys, spec.ordering_field)))
+
+
 def _same(columns: tuple[str, ...]) -> list[Column]:
     return [F.col(c).eqNullSafe(F.col(_INCOMING + c)) for c in columns]
 
 
-def stored_keys(existing: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
-    """Keys of the batch that are stored already, from a read of the key columns alone."""
-    sent = _prefixed(incoming, list(spec.keys))
-    return existing.select(*spec.keys).join(sent, _same(spec.keys), "left_semi")
+def stored_versions(existing: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys of the batch that are stored already, and whether the stored row outranks the
+    batch's (``_outranks``), from one read of the stored keys and ordering field."""
+    sent = _prefixed(incoming, _compared(spec))
+    both = existing.select(*_compared(spec)).join(sent, _same(spec.keys))
+    return both.select(*spec.keys, _outranks(spec).alias("_outranks"))
+
+
+def _outranks(spec: TableSpec) -> Column:
+    stored, sent = F.col(spec.ordering_field), F.col(_INCOMING + spec.ordering_field)
+    return F.coalesce((stored > sent) | (stored.isNotNull() & sent.isNull()), F.lit(False))
+
+
+def replaced_rows(existing: DataFrame, winners: DataFrame, spec: TableSpec) -> DataFrame:
+    """The stored rows whose place ``winners`` take."""
+    return existing.join(_prefixed(winners, list(spec.keys)), _same(spec.keys), "left_semi")
+
+
+def without(incoming: DataFrame, newer: DataFrame, spec: TableSpec) -> DataFrame:
+    """Incoming rows of other keys than those of ``newer``."""
+    return incoming.join(_prefixed(newer, list(spec.keys)), _same(spec.keys), "left_anti")
 
 
 def accepted_rows(existing: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
@@ -35,14 +57,12 @@ def accepted_rows(existing: DataFrame, incoming: DataFrame, spec: TableSpec) ->
     first cut down to the batch's own keys: a batch small enough to broadcast
     shuffles no stored row.
     """
-    stored, sent = F.col(spec.ordering_field), F.col(_INCOMING + spec.ordering_field)
-    outranks = (stored > sent) | (stored.isNotNull() & sent.isNull())
-    newer = existing.select(*spec.keys, spec.ordering_field).join(
-        _prefixed(incoming, [*spec.keys, spec.ordering_field]),
-        [*_same(spec.keys), outranks],
+    newer = existing.select(*_compared(spec)).join(
+        _prefixed(incoming, _compared(spec)),
+        [*_same(spec.keys), _outranks(spec)],
         "left_semi",
     )
-    return incoming.join(_prefixed(newer, list(spec.keys)), _same(spec.keys), "left_anti")
+    return without(incoming, newer, spec)
 
 
 def merge_batch(

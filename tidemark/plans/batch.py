@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.marks import as_utc, from_micros, micros_to_wall, to_micros
-from tidemark.sources.readers import read_table
+from tidemark.sources.partitions import Partitions
+from tidemark.sources.readers import AGE_MARGIN_US, read_table
 from tidemark.spec import COMMIT_COL, Lake, TableSpec
 
 
@@ -90,10 +91,13 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("batch_date", T.StringType()),
         T.StructField("batch_hour", T.StringType()),
         T.StructField("batch_minute", T.StringType()),
+        T.StructField("commit_date", T.StringType()),
     ]
 )
+# By the day of the commit mark, which never decreases: the newest batches, backfills of old
+# windows included, are in the newest directories.
 AUDIT_SPEC = TableSpec(
-    partition_fields=("batch_date",),
+    partition_fields=("commit_date",),
     record_key="batch_id",
     ordering_field="end_us",
     schema=AUDIT_SCHEMA,
@@ -129,6 +133,7 @@ def append_audit(
     ]
     (
         with_batch_metadata(spark.range(0, 1, numPartitions=1).select(*columns))
+        .withColumn("commit_date", F.date_format(micros_to_wall(F.col("commit_us")), "yyyy-MM-dd"))
         .write.mode("append")
         .partitionBy(*AUDIT_SPEC.partition_fields)
         .parquet(lake.path(lake.audit_table))
@@ -140,44 +145,64 @@ def read_audit(spark: SparkSession, lake: Lake) -> DataFrame | None:
     return read_table(spark, lake.path(lake.audit_table), AUDIT_SPEC)
 
 
-def _newest(spark: SparkSession, lake: Lake, column: str, where: Column | None = None) -> int | None:
-    """Greatest value of a column that grows from batch to batch. Later batches lie
-    in later days, so the latest days are read first and the rest only if they
-    hold nothing: the audit gains a small file every few minutes, for years."""
-    audit = read_audit(spark, lake)
-    if audit is None:
-        return None
-    if where is not None:
-        audit = audit.where(where)
-    yesterday = f"{datetime.now(timezone.utc) - timedelta(days=1):%Y-%m-%d}"
-    for rows in (audit.where(F.col("batch_date") >= yesterday), audit):
-        found = rows.agg(F.max(column)).first()[0]
-        if found is not None:
-            return found
-    return None
+@dataclass(frozen=True)
+class Progress:
+    """Where finished batches stand: ``mark_us``, up to where windows cover all commits of
+    bronze without a gap; ``commit_us``, the greatest mark rows were committed with, and the
+    window of that batch; ``epoch``, the last of the stream asked for."""
+
+    mark_us: int | None = None
+    commit_us: int | None = None
+    window: BatchWindow | None = None
+    epoch: int | None = None
+
+    def commit_for(self, window: BatchWindow) -> int:
+        """The mark to commit the rows of ``window`` with: its end, or just after the last
+        commit if that is as late. The last window, run again, keeps its mark."""
+        if self.commit_us is None or window.end_us > self.commit_us:
+            return window.end_us
+        return self.commit_us if window == self.window else self.commit_us + 1
+
+
+def progress(spark: SparkSession, lake: Lake, stream_id: str | None = None) -> Progress:
+    """One read of the audit: of the directories of these days, and of the others only if
+    these hold nothing. It gains a small file every few minutes, for years."""
+    now = datetime.now(timezone.utc)
+    recent = tuple((f"{now - timedelta(days=back):%Y-%m-%d}",) for back in (-1, 0, 1))
+    latest = F.max(F.struct("commit_us", "begin_us", "end_us"))
+    epoch = F.max(F.when(F.col("stream_id") == F.lit(stream_id), F.col("epoch_id")))
+    row = None
+    for days in (Partitions(AUDIT_SPEC.partition_fields, recent), None):
+        audit = read_table(spark, lake.path(lake.audit_table), AUDIT_SPEC, days)
+        if audit is not None:
+            row = audit.agg(F.max("mark_us").alias("mark"), latest.alias("latest"), epoch.alias("epoch")).first()
+            if row.latest is not None and (stream_id is None or row.epoch is not None):
+                break
+    if row is None or row.latest is None:
+        return Progress()
+    window = BatchWindow(row.latest.begin_us, row.latest.end_us)
+    return Progress(row.mark, row.latest.commit_us, window, row.epoch)
 
 
 def high_water_mark(spark: SparkSession, lake: Lake) -> int | None:
     """Up to where finished windows cover all commits without a gap."""
-    return _newest(spark, lake, "mark_us")
-
-
-def last_commit(spark: SparkSession, lake: Lake) -> int | None:
-    """The greatest mark that a finished batch committed rows with."""
-    return _newest(spark, lake, "commit_us")
-
-
-def next_window(spark: SparkSession, lake: Lake, now: datetime | None = None) -> BatchWindow | None:
-    """Every commit visible in bronze since the last finished batch, so that windows tile
-    without gap or overlap. It ends at the greatest of these, not at the present: a
-    commit that becomes visible later with a greater mark, as those of one writer do, is
-    in the next window. None if there is none."""
-    begin = high_water_mark(spark, lake) or 0
+    return progress(spark, lake).mark_us
+
+
+def next_window(
+    spark: SparkSession, lake: Lake, now: datetime | None = None, begin: int | None = None
+) -> BatchWindow | None:
+    """Every commit visible in bronze since ``begin``, by default the high-water mark, so
+    that windows tile without gap or overlap. It ends at the greatest of these, not at the
+    present: a commit that becomes visible later with a greater mark, as those of one writer
+    do, is in the next window. None if there is none. Files older than ``begin`` stay shut."""
+    if begin is None:
+        begin = high_water_mark(spark, lake) or 0
     spec = TableSpec(
         lake.spec(lake.bronze_table).partition_fields,
         schema=T.StructType([T.StructField(COMMIT_COL, T.LongType())]),
     )
-    marks = read_table(spark, lake.path(lake.bronze_table), spec)
+    marks = read_table(spark, lake.path(lake.bronze_table), spec, after_us=begin - AGE_MARGIN_US)
     if marks is None:
         return None
     new = (F.col(COMMIT_COL) > begin) & (F.col(COMMIT_COL) <= to_micros(now or datetime.now(timezone.utc)))
@@ -186,5 +211,5 @@ def next_window(spark: SparkSession, lake: Lake, now: datetime | None = None) ->
 
 
 def epoch_finished(spark: SparkSession, lake: Lake, stream_id: str, epoch_id: int) -> bool:
-    last = _newest(spark, lake, "epoch_id", F.col("stream_id") == stream_id)
+    last = progress(spark, lake, stream_id).epoch
     return last is not None and last >= epoch_id

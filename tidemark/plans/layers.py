@@ -22,17 +22,24 @@ from tidemark.plans.batch import (
     BatchCounts,
     BatchWindow,
     append_audit,
-    high_water_mark,
-    last_commit,
     next_window,
+    progress,
+)
+from tidemark.plans.totals import TOTALS, Totals
+from tidemark.sources.partitions import (
+    MAX_LITERAL_PARTITIONS,
+    Partitions,
+    PartitionSpan,
+    in_partitions_of,
+    partitions_of,
 )
-from tidemark.sources.partitions import MAX_LITERAL_PARTITIONS, in_partitions_of, partitions_of
 from tidemark.sources.readers import incremental, read_table, snapshot
 from tidemark.sources.writers import UpsertReport, clear_partitions, replace_partitions, stamped, upsert
 from tidemark.spec import Lake, TableSpec
 
 SLICE = "slice"
 REFRESH = "refresh"
+GOLD_MODES = (SLICE, REFRESH, TOTALS)
 
 # A refresh recomputes whole days; gold tables are partitioned by them.
 GOLD_DAY = ("dt",)
@@ -57,13 +64,16 @@ def process(
     in gold the last batch always wins. ``gold_mode="slice"`` upserts aggregates of the batch
     alone, so the latest batch to touch a group replaces its row; ``"refresh"``
     recomputes the days the batch touches from all of silver, and a day without any
-    valid row left has none in gold. Rows without a day are left out of a refresh.
+    valid row left has none in gold; ``"totals"`` gives the same from states that the
+    batch's rows are added to and taken from. Rows without a day are left out of both.
     """
-    if gold_mode not in (SLICE, REFRESH):
+    if gold_mode not in GOLD_MODES:
         raise ValueError(f"unknown gold mode {gold_mode!r}")
     as_of = as_utc(as_of or datetime.now(timezone.utc))
     commit_us = window.end_us if commit_us is None else commit_us
     silver_path, silver_spec = lake.path(lake.silver_table), lake.spec(lake.silver_table)
+    totals = Totals(spark, lake, commit_us)
+    before_write = totals.before_write if gold_mode == TOTALS else totals.mark if totals.kept() else None
 
     silver_rows = to_silver(bronze, as_of)
     silver = upsert(
@@ -74,14 +84,16 @@ def process(
         merge_order=merge_order,
         on_null_key="reject",
         max_literal_partitions=max_literal_partitions,
+        before_write=before_write,
     )
     sent = silver.rows + silver.rejected  # silver keeps every bronze row
     counts = {
         "bronze_record_count": sent,
         "silver_record_count": sent,
         "silver_rejected_count": silver.rejected,
+        "silver_slice_count": silver.written,
     }
-    if not silver.rows:
+    if not silver.written:
         return BatchCounts(**counts)
 
     # The columns are known, so no file has to be opened to learn them.
@@ -91,19 +103,22 @@ def process(
     silver_slice = incremental(
         spark, silver_path, stored, commit_us - 1, commit_us, silver.partitions
     )
-    counts["silver_slice_count"] = silver_slice.count()
-    if counts["silver_slice_count"] == 0:
-        return BatchCounts(**counts)
-    source = silver_slice
     dated = silver_slice.where(F.col("dt").isNotNull())
-    days = None
-    if gold_mode == REFRESH:
+    days = touched = None
+    if gold_mode == SLICE:
+        tables = gold.aggregations(silver_slice, window.batch_id, as_of)
+        touched = _days_of(silver.partitions)
+    else:
         # Rows without a day, of all times, make no group that gold keeps.
         days = partitions_of(dated, GOLD_DAY, max_literal_partitions)
-        source = snapshot(spark, silver_path, stored, days or silver.partitions).where("dt IS NOT NULL")
-        if days is None:  # too many to list: the same days by a join
-            source = in_partitions_of(source, dated, GOLD_DAY)
-    tables = gold.aggregations(source, window.batch_id, as_of)
+        if gold_mode == TOTALS and days is not None and days.values:
+            states = totals.update(dated, days, lambda places: snapshot(spark, silver_path, stored, places))
+            tables = {name: gold.from_states(found, name, window.batch_id, as_of) for name, found in states.items()}
+        else:
+            source = snapshot(spark, silver_path, stored, days or silver.partitions).where("dt IS NOT NULL")
+            if days is None:  # too many to list: the same days by a join
+                source = in_partitions_of(source, dated, GOLD_DAY)
+            tables = gold.aggregations(source, window.batch_id, as_of)
 
     def clear_emptied(groups: DataFrame, path: str, spec: TableSpec) -> None:
         """Touched days that have no group any more lose the rows gold holds for them."""
@@ -115,18 +130,18 @@ def process(
             in_partitions_of(held.select(*GOLD_DAY).distinct(), dated, GOLD_DAY)
             .join(left.select(*GOLD_DAY), list(GOLD_DAY), "left_anti")
         )
-        clear_partitions(emptied, path, spec, held.schema)
+        clear_partitions(emptied, path, spec)
 
     def write(name: str) -> UpsertReport:
         path, spec = lake.path(lake.gold_table(name)), lake.spec(lake.gold_table(name))
         common = {"on_null_key": "reject", "unique": True}
+        if gold_mode == SLICE:
+            return upsert(tables[name], path, spec, commit_us, merge_order=COMMIT_TIME, touched=touched, **common)
         groups = tables[name].persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if gold_mode == REFRESH:
-                report = replace_partitions(groups, path, spec, commit_us, **common)
-                clear_emptied(groups, path, spec)
-                return report
-            return upsert(groups, path, spec, commit_us, merge_order=COMMIT_TIME, **common)
+            report = replace_partitions(groups, path, spec, commit_us, **common)
+            clear_emptied(groups, path, spec)
+            return report
         finally:
             groups.unpersist()
 
@@ -145,6 +160,16 @@ def process(
     )
 
 
+def _days_of(touched: Partitions | PartitionSpan | None) -> Partitions | PartitionSpan | None:
+    """The gold days that silver's touched partitions can change, None if they don't tell."""
+    if isinstance(touched, PartitionSpan):
+        return touched if (touched.field,) == GOLD_DAY else None
+    if touched is None or GOLD_DAY[0] not in touched.fields:
+        return None
+    place = touched.fields.index(GOLD_DAY[0])
+    return Partitions(GOLD_DAY, tuple({(value[place],): None for value in touched.values}))
+
+
 def run_batch(
     spark: SparkSession,
     lake: Lake,
@@ -162,17 +187,18 @@ def run_batch(
     that, so that marks never decrease. A window that begins after the high-water mark
     leaves the mark where it is, so that what lies between is still read.
     """
-    if gold_mode not in (SLICE, REFRESH):
+    if gold_mode not in GOLD_MODES:
         raise ValueError(f"unknown gold mode {gold_mode!r}")
     started = time.monotonic()
-    window = window or next_window(spark, lake, as_of)
+    before = progress(spark, lake)
+    mark = before.mark_us or 0
+    window = window or next_window(spark, lake, as_of, mark)
     if window is None:
         return None
     bronze = incremental(
         spark, lake.path(lake.bronze_table), lake.spec(lake.bronze_table), window.begin_us, window.end_us
     )
-    last, mark = last_commit(spark, lake) or 0, high_water_mark(spark, lake) or 0
-    commit_us = window.end_us if window.end_us >= last else last + 1
+    commit_us = before.commit_for(window)
     counts = process(
         spark,
         lake,
@@ -213,7 +239,8 @@ def rebuild_days(
     wanted = day.isin([d for d in days if d is not None])
     if None in days:
         wanted = wanted | day.isNull()
-    last, mark = last_commit(spark, lake) or 0, high_water_mark(spark, lake) or 0
+    before = progress(spark, lake)
+    last, mark = before.commit_us or 0, before.mark_us or 0
     window = BatchWindow(last, last + 1)
     counts = process(spark, lake, bronze.where(wanted), window, as_of=as_of, gold_mode=REFRESH)
     append_audit(spark, lake, window, counts, time.monotonic() - started, mark_us=mark)

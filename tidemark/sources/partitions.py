@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 MAX_LITERAL_PARTITIONS = 1000
 
 # Directory name Spark gives a NULL partition value.
-_NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
 
 # Values whose text is the same in Python and in a directory name.
 _PLAIN_TYPES = (str, int, date, type(None))
@@ -40,7 +40,7 @@ class Partitions:
         heads = {value[0] for value in self.values}
         if any(isinstance(head, bool) or not isinstance(head, _PLAIN_TYPES) for head in heads):
             return path
-        names = sorted(_NULL_DIRECTORY if head is None else str(head) for head in heads)
+        names = sorted(NULL_DIRECTORY if head is None else str(head) for head in heads)
         if not names or not all(re.fullmatch(r"[\w.-]+", name) for name in names):
             return path
         return f"{path}/{self.fields[0]}={{{','.join(names)}}}"

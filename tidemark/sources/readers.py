@@ -3,24 +3,40 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.marks import from_micros
 from tidemark.sources.partitions import Partitions, PartitionSpan
 from tidemark.spec import COMMIT_COL, TableSpec
 
 
+# How far a commit mark may be ahead of the writer's clock, and how much older than a range a
+# file is left out: what lies between allows for the clocks of writers and of the store.
+MARK_AHEAD_US = 30 * 60 * 1_000_000
+AGE_MARGIN_US = 60 * 60 * 1_000_000
+
+
 class ColumnTypeError(ValueError):
     """A batch gives a stored column another type."""
 
 
+def _reader(spark: SparkSession, path: str, after_us: int | None = None) -> DataFrameReader:
+    """A reader of the files last modified after ``after_us``, if given."""
+    reader = spark.read.option("basePath", path)
+    if after_us is None or after_us <= 0:
+        return reader
+    moment = f"{from_micros(after_us):%Y-%m-%dT%H:%M:%S}"
+    return reader.option("modifiedAfter", moment).option("timeZone", "UTC")
+
+
 def _stored_schema(
-    spark: SparkSession, path: str, location: str, spec: TableSpec
+    spark: SparkSession, path: str, location: str, spec: TableSpec, after_us: int | None = None, all_files: bool = True
 ) -> T.StructType | None:
-    """Stored columns of all files at ``location``, as later files can have more. Partition
-    values read as text, not as whatever type they look like."""
-    reader = spark.read.option("basePath", path).option("mergeSchema", True)
+    """Stored columns of all files at ``location``, as later files can have more, or of one of
+    them. Partition values read as text, not as whatever type they look like."""
+    reader = _reader(spark, path, after_us).option("mergeSchema", all_files)
     try:
         found = reader.parquet(location).schema
     except AnalysisException as error:
@@ -51,21 +67,24 @@ def read_table(
     spec: TableSpec,
     partitions: Partitions | PartitionSpan | None = None,
     also: T.StructType | None = None,
+    after_us: int | None = None,
 ) -> DataFrame | None:
     """Rows of the table, or of some of its partitions; None if it holds none of them.
 
+    With ``after_us`` files last modified before that are left out, unopened.
+
     Every file's columns are read; a declared ``spec.schema`` saves opening the files to
     learn them. ``also`` is for reading rows to write them back: its columns are added,
     and partition fields take their types from it. A column they share must have one type.
     """
     location = partitions.directories(path) if partitions else path
     try:
-        schema = spec.schema or _stored_schema(spark, path, location, spec)
+        schema = spec.schema or _stored_schema(spark, path, location, spec, after_us)
         if schema is None:
             return None
         if also is not None:
             schema = _widened(schema, also, spec)
-        df = spark.read.option("basePath", path).schema(schema).parquet(location)
+        df = _reader(spark, path, after_us).schema(schema).parquet(location)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -73,16 +92,23 @@ def read_table(
     return df.where(partitions.predicate()) if partitions else df
 
 
-def check_types(spark: SparkSession, path: str, spec: TableSpec, batch: T.StructType) -> None:
-    """Raises if ``batch`` gives a stored column another type."""
-    try:
-        stored = spec.schema or _stored_schema(spark, path, path, spec)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = None
-    if stored is not None:
-        _widened(stored, batch, spec)
+def check_types(
+    spark: SparkSession, path: str, spec: TableSpec, batch: T.StructType, partitions: Partitions | None = None
+) -> None:
+    """Raises if ``batch`` gives a stored column another type: one of the declared schema, or
+    without one, of the files in ``partitions`` (all files if None) and of one other file."""
+    found = [spec.schema] if spec.schema is not None else []
+    if not found:
+        places = [(partitions.directories(path) if partitions else path, True), (path, False)]
+        for place, all_files in places:
+            try:
+                found.append(_stored_schema(spark, path, place, spec, all_files=all_files))
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+    for stored in found:
+        if stored is not None:
+            _widened(stored, batch, spec)
 
 
 def table_exists(spark: SparkSession, path: str, spec: TableSpec) -> bool:
@@ -119,8 +145,12 @@ def incremental(
 ) -> DataFrame:
     """Current rows whose last commit lies in ``(begin, end]``.
 
-    Adjoining ranges cover every commit once. The range reaches the Parquet scan,
-    where row groups of other commits are skipped.
+    Adjoining ranges cover every commit once. Files written before the range begins, by
+    more than ``AGE_MARGIN_US``, are not opened: writers refuse marks ahead of their clock.
+    In the others the range reaches the Parquet scan, where row groups of other commits
+    are skipped.
     """
-    df = snapshot(spark, path, spec, partitions)
+    df = read_table(spark, path, spec, partitions, after_us=begin_us - AGE_MARGIN_US)
+    if df is None:  # nothing that new: the columns are those of all files
+        df = snapshot(spark, path, spec, partitions)
     return df.where((F.col(COMMIT_COL) > F.lit(begin_us)) & (F.col(COMMIT_COL) <= F.lit(end_us)))

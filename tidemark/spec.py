@@ -84,6 +84,35 @@ GOLD_BY_HOUR_SPEC = TableSpec(
     ),
 )
 
+# States of gold's groups, from which running totals are kept (``plans.totals``).
+_STATE = [
+    T.StructField("dt", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("total", T.DoubleType()),
+    T.StructField("m2", T.DoubleType()),
+    T.StructField("least", T.DoubleType()),
+    T.StructField("most", T.DoubleType()),
+    T.StructField(COMMIT_COL, T.LongType()),
+]
+
+
+def _state_spec(*columns: T.StructField, shared: list[T.StructField] = _STATE) -> TableSpec:
+    return TableSpec(record_key="dt", ordering_field=COMMIT_COL, schema=T.StructType([*shared, *columns]))
+
+
+STATE_SPECS: Mapping[str, TableSpec] = {
+    "state_by_category": _state_spec(T.StructField("category_code", T.StringType())),
+    "state_by_hour": _state_spec(T.StructField("hour", T.IntegerType()), T.StructField("uniques", T.LongType())),
+    "state_customers": _state_spec(
+        T.StructField("hour", T.IntegerType()),
+        T.StructField("bucket", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+        shared=[_STATE[0], _STATE[-1]],
+    ),
+    "state_stale": _state_spec(shared=[_STATE[0], _STATE[-1]]),
+}
+
 DEFAULT_SPECS: Mapping[str, TableSpec] = {
     "bronze_events": BRONZE_SPEC,
     "silver_events": SILVER_SPEC,

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.marks import from_micros, to_micros
 from tidemark.operators.merge import EVENT_TIME
-from tidemark.plans.batch import BatchWindow, append_audit, epoch_finished, high_water_mark
+from tidemark.plans.batch import BatchWindow, append_audit, progress
 from tidemark.plans.layers import SLICE, process
 from tidemark.spec import Lake
 
@@ -54,11 +54,12 @@ def run_stream(
     def deliver(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
         epoch = (stream_id.result(), epoch_id)
-        if epoch_finished(session, lake, *epoch):
+        before = progress(session, lake, epoch[0])
+        if before.epoch is not None and before.epoch >= epoch_id:
             return
         started = time.monotonic()
-        begin = high_water_mark(session, lake) or 0
-        # Always past the last batch, even if the clock stood still or went back.
+        begin = before.commit_us or 0
+        # Always past the last commit, even if the clock stood still or went back.
         window = BatchWindow(begin, max(to_micros(clock(epoch_id)), begin + 1))
         counts = process(
             session,
@@ -69,7 +70,9 @@ def run_stream(
             gold_mode=gold_mode,
             merge_order=merge_order,
         )
-        append_audit(session, lake, window, counts, time.monotonic() - started, epoch)
+        # The stream read arrivals, not bronze, whose mark stays where it is.
+        seconds = time.monotonic() - started
+        append_audit(session, lake, window, counts, seconds, epoch, window.end_us, before.mark_us or 0)
 
     source = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
