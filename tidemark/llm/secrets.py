@@ -21,10 +21,13 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import let
+
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = (
     r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -43,37 +46,82 @@ SAMPLE_DOCUMENTS = 2000
 LEAST_RATIO = 0.0
 MASK = "[SECRET]"
 
+#: What every span has in it, and places that none reaches over: after a character of no
+#: pattern, and after a single space that is not beside an assignment's sign.
+ANY = f"{ASSIGN}|{CANDIDATE}|{ACCESS}|{HEX}"
+CUT = r"""(?<=[^A-Za-z0-9+/_.=\-"':\x20])|(?<=[^:=\x20]\x20)(?=[^:=\x20])"""
+
 _SIZE = len(ALPHABET) + 1  # place 0 is any other character
 _SPAN = "array<struct<start:int,kind:int,stop:int>>"
 
 
-def _spans(text: Column, pattern: str, kind: int, check: tuple[int, int] | None = None) -> Column:
-    """The spans of all matches; ``check`` is a group and the least length of it."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(check[0])) if check else matches
-    zipped = F.zip_with(
-        F.arrays_zip(matches.alias("m"), checked.alias("c")),
-        F.slice(pieces, 1, F.size(matches)),
-        lambda both, piece: F.struct(
-            F.char_length(piece).alias("gap"),
-            F.char_length(both["m"]).alias("length"),
-            F.char_length(both["c"]).alias("checked"),
-        ),
-    )
+def _sums_before(lengths: Column) -> Column:
+    """For each place of a non-empty array, the sum of the places before. In blocks of the
+    root of its size, as appending to an array copies it."""
 
-    def add(state: Column, match: Column) -> Column:
-        start = state["at"] + match["gap"]
-        stop = start + match["length"]
-        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop")))
-        keep = match["checked"] >= (check[1] if check else 0)
+    def add(state: Column, length: Column) -> Column:
         return F.struct(
-            stop.alias("at"), F.when(keep, F.concat(state["found"], span)).otherwise(state["found"]).alias("found")
+            (state["sum"] + length).alias("sum"), F.concat(state["sums"], F.array(state["sum"])).alias("sums")
+        )
+
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("sums"))
+
+    def in_blocks(width: Column) -> Column:
+        last = F.floor((F.size(lengths) - 1) / width).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda b: F.aggregate(F.slice(lengths, b * width + 1, width), start, add),
+        )
+        return let(blocks, shifted)
+
+    def shifted(blocks: Column) -> Column:
+        offsets = F.aggregate(F.transform(blocks, lambda block: block["sum"]), start, add, lambda state: state["sums"])
+        return F.flatten(
+            F.zip_with(blocks, offsets, lambda block, offset: F.transform(block["sums"], lambda n: n + offset))
+        )
+
+    return let(F.ceil(F.sqrt(F.size(lengths).cast("double"))).cast("int"), in_blocks)
+
+
+def _spans(
+    text: Column, pattern: str, kind: int, group: int = 0, keep: Callable[[Column], Column] | None = None
+) -> Column:
+    """The spans of the matches of which ``keep`` holds for ``group``."""
+    pieces = F.split(text, pattern, -1)
+
+    def placed(matches: Column) -> Column:
+        checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
+        rows = F.zip_with(
+            F.zip_with(matches, checked, lambda m, c: F.struct(F.char_length(m).alias("length"), c.alias("value"))),
+            F.slice(pieces, 1, F.size(matches)),
+            lambda match, piece: F.struct(
+                F.char_length(piece).alias("gap"), match["length"].alias("length"), match["value"].alias("value")
+            ),
         )
+        return let(rows, summed)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
-    found = F.aggregate(zipped, start, add, lambda state: state["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
+    def summed(rows: Column) -> Column:
+        return let(
+            _sums_before(F.transform(rows, lambda row: row["gap"] + row["length"])), lambda before: found(rows, before)
+        )
+
+    def found(rows: Column, before: Column) -> Column:
+        spans = F.zip_with(
+            rows,
+            before,
+            lambda row, at: F.struct(
+                F.struct(
+                    (at + row["gap"]).alias("start"),
+                    F.lit(kind).alias("kind"),
+                    (at + row["gap"] + row["length"]).alias("stop"),
+                ).alias("span"),
+                (keep(row["value"]) if keep else F.lit(True)).alias("kept"),
+            ),
+        )
+        return F.transform(F.filter(spans, lambda s: s["kept"]), lambda s: s["span"])
+
+    everything = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    return F.when(text.rlike(pattern), everything).otherwise(F.array().cast(_SPAN))
 
 
 def _class(character: Column) -> Column:
@@ -120,33 +168,31 @@ def log_ratio(token: Column, model: list[float]) -> Column:
     """The mean log-likelihood ratio of the token's transitions."""
     table = F.from_json(F.lit(json.dumps(model)), F.lit("array<double>"))
 
-    def add(total: Column, i: Column) -> Column:
-        a, b = F.substring(token, i, F.lit(1)), F.substring(token, i + 1, F.lit(1))
-        return total + F.get(table, _SIZE * _class(a) + _class(b))
+    def mean(codes: Column) -> Column:
+        steps = F.size(codes) - 1
+        ratios = F.zip_with(
+            F.slice(codes, F.lit(1), steps), F.slice(codes, F.lit(2), steps), lambda a, b: F.get(table, _SIZE * a + b)
+        )
+        return F.aggregate(ratios, F.lit(0.0), lambda total, ratio: total + ratio) / steps
 
-    steps = F.length(token) - 1
-    return F.aggregate(F.sequence(F.lit(1), steps), F.lit(0.0), add) / steps
+    return let(F.transform(F.split(token, ""), _class), mean)
 
 
-def _random_spans(text: Column, model: list[float]) -> Column:
-    spans = _spans(text, CANDIDATE, 3)
-    return F.filter(
-        spans, lambda s: log_ratio(F.substring(text, s["start"] + 1, s["stop"] - s["start"]), model) > LEAST_RATIO
-    )
+def _all_spans(text: Column, model: list[float]) -> list[Column]:
+    """The spans of each kind."""
+    return [
+        _spans(text, ASSIGN, 0, 2, lambda value: F.char_length(value) >= ASSIGNED),
+        _spans(text, ACCESS, 1),
+        _spans(text, HEX, 2),
+        _spans(text, CANDIDATE, 3, 0, lambda value: log_ratio(value, model) > LEAST_RATIO),
+    ]
 
 
 def with_spans(documents: DataFrame) -> DataFrame:
-    """``documents(doc_id, text, ...)`` with ``found``, all spans in order; kinds by number."""
-    model = train(documents)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return documents.withColumns(
-        {
-            "found_assign": _spans(text, ASSIGN, 0, (2, ASSIGNED)),
-            "found_access": _spans(text, ACCESS, 1),
-            "found_hex": _spans(text, HEX, 2),
-            "found_markov": _random_spans(text, model),
-        }
-    )
+    """``documents(doc_id, text, ...)`` with ``found_`` and the kind, the spans in order; kinds
+    by number."""
+    spans = _all_spans(F.coalesce(F.col("text"), F.lit("")), train(documents))
+    return documents.withColumns({f"found_{kind}": found for kind, found in zip(KINDS, spans, strict=True)})
 
 
 def _listed(spans: Column) -> Column:
@@ -175,31 +221,41 @@ def secret_scan(documents: DataFrame) -> DataFrame:
     )
 
 
+def _masked(text: Column, model: list[float]) -> Column:
+    """A short text with its secrets masked."""
+
+    def from_spans(found: Column) -> Column:
+        def add(state: Column, span: Column) -> Column:
+            gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
+            apart = span["start"] >= state["at"]
+            return F.struct(
+                F.greatest(state["at"], span["stop"]).alias("at"),
+                F.when(apart, F.concat(state["out"], gap, F.lit(MASK))).otherwise(state["out"]).alias("out"),
+            )
+
+        def rest(state: Column) -> Column:
+            return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
+
+        return F.aggregate(found, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add, rest)
+
+    return let(F.array_sort(F.concat(*_all_spans(text, model))), from_spans)
+
+
 def redact(documents: DataFrame) -> DataFrame:
     """``documents`` with every secret in the text replaced by ``MASK``, and ``n_chars``, if
-    there, adjusted. Other rows are as they were."""
-    columns = documents.columns
-    found = F.array_sort(F.concat("found_assign", "found_access", "found_hex", "found_markov"))
-    text = F.col("text")
-
-    def add(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        apart = span["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["stop"]).alias("at"),
-            F.when(apart, F.concat(state["out"], gap, F.lit(MASK))).otherwise(state["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(
-        found,
-        start,
-        add,
-        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))),
+    there, adjusted. Other rows are as they were.
+
+    Texts are masked part by part, cut where no span can reach over, so that each is
+    gone through once."""
+    columns, model, text = documents.columns, train(documents), F.col("text")
+    parts = F.transform(
+        F.split(text, CUT, -1),
+        lambda part: F.when(part.rlike(ANY), _masked(part, model)).otherwise(part),
     )
-    out = with_spans(documents).withColumn("text", F.when(F.size(found) > 0, masked).otherwise(text))
+    out = documents.withColumn("_masked", F.when(text.rlike(ANY), F.array_join(parts, "")).otherwise(text))
     if "n_chars" in columns:
+        changed = F.col("_masked") != text
         out = out.withColumn(
-            "n_chars", F.when(F.size(found) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+            "n_chars", F.when(changed, F.length("_masked").cast("long")).otherwise(F.col("n_chars"))
         )
-    return out.select(columns)
+    return out.select(*[F.col("_masked").alias(c) if c == "text" else F.col(c) for c in columns])
