@@ -436,6 +436,61 @@ def test_stream_repairs_a_crashed_epoch(spark, folder, monkeypatch):
     assert _totals(spark, lake) == {"A_2024-01-01": 20.0}
 
 
+def test_stream_archives_what_it_took(spark, folder):
+    """Files leave the listing a run later; a crash in between brings nothing twice."""
+    from pathlib import Path
+
+    lake = Lake(f"{folder}/tables")
+    for n in (1, 2, 3):
+        _drop_off(spark, folder, _event(n, day=n))
+        _stream(spark, lake, folder, archive=f"{folder}/archive", max_bytes_per_trigger=1 << 30, max_file_age="30d")
+    left, moved = (len(list(Path(f"{folder}/{place}").rglob("part-*.parquet"))) for place in ("arrivals", "archive"))
+    assert left + moved == 3 and moved >= 1
+    assert _stored(spark, lake, "silver_events").count() == 3 and read_audit(spark, lake).count() == 3
+
+
+def test_stream_leaves_bronze_to_the_schedule(spark, folder):
+    lake = Lake(f"{folder}/tables")
+    _arrive(spark, lake, 1, _event(1))
+    _drop_off(spark, folder, _event(2, day=2))
+    _stream(spark, lake, folder)
+    counts = run_batch(spark, lake, as_of=START + timedelta(minutes=5))
+    assert counts.bronze_record_count == 1 and _stored(spark, lake, "silver_events").count() == 2
+    marks = sorted(r.commit_us for r in read_audit(spark, lake).collect())
+    assert marks[1] == marks[0] + 1  # committed after the stream, whatever its window
+    # a backfill and a clock that stands still: marks only grow
+    rebuild_days(spark, lake, ["2024-01-01"], as_of=START)
+    _drop_off(spark, folder, _event(3, day=3))
+    _stream(spark, lake, folder, clock=lambda _epoch: START)
+    marks = sorted(r.commit_us for r in read_audit(spark, lake).collect())
+    assert len(set(marks)) == 4
+
+
+def test_an_opening_write_counts_as_it_goes(spark, folder):
+    """Rows, rows without a key and older versions, from the one job that writes them."""
+    from tidemark.sources.writers import upsert
+    from tidemark.spec import TableSpec
+
+    spec = TableSpec(partition_fields=("dt",), record_key="id", ordering_field="ts")
+    frame = spark.range(0, 1000, 1, 4).selectExpr("if(id % 10 = 0, null, id % 800) AS id", "id AS ts", "concat('d', id % 4) AS dt")
+    report = upsert(frame, folder, spec, 1, on_null_key="reject")
+    assert (report.rows, report.rejected, report.written) == (900, 100, 720)
+    assert snapshot(spark, folder, spec).count() == 720
+
+
+def test_a_batch_takes_few_executions(spark, folder):
+    """Queries that Spark ran for one merged batch, those of the audit included."""
+    lake = Lake(folder)
+    _arrive(spark, lake, 1, *(_event(n, day=1 + n % 3) for n in range(30)))
+    run_batch(spark, lake, as_of=START + timedelta(minutes=5))
+    _arrive(spark, lake, 6, *(_event(n, day=1 + n % 3, hour=8) for n in range(15, 45)))
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run_batch(spark, lake, as_of=START + timedelta(minutes=10))
+    # audit, window, survey, matched partitions, merge, two aggregates, audit row: 10 as counted
+    assert store.executionsCount() - before <= 10
+
+
 def test_stream_skips_a_recorded_epoch(spark, folder, monkeypatch):
     """The audit row was written, but not the checkpoint: the epoch comes again."""
     lake = Lake(f"{folder}/tables")

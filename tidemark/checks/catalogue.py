@@ -19,8 +19,9 @@ from tidemark.plans.batch import BatchWindow, read_audit, with_batch_metadata
 from tidemark.plans.layers import REFRESH, TOTALS, run_batch
 from tidemark.sources.readers import incremental, snapshot, table_exists
 from tidemark.sources.writers import bulk_insert, insert, remove, upsert
-from tidemark.spec import BRONZE_SPEC, COMMIT_COL, SILVER_SPEC, Lake
+from tidemark.spec import BRONZE_SPEC, COMMIT_COL, PROGRESS_SPEC, SILVER_SPEC, Lake
 from tidemark.streaming.arrivals import run_stream
+from tidemark.streaming.progress import ProgressLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -372,6 +373,27 @@ def stream_then_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pick(_stored(spark, lake, lake.silver_table), *[c for c in _SILVER if c != COMMIT_COL])
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read by each epoch, as Spark's listener was told."""
+    base = workspace(spark)
+    lake, arrivals = Lake(f"{base}/tables"), f"{base}/arrivals"
+    log = ProgressLog(spark, lake)
+    spark.streams.addListener(log)
+    try:
+        for step, rows in enumerate((_originals, _corrections), start=1):
+            arriving = rows(spark, sf_dir)
+            arriving.write.mode("append").parquet(arrivals)
+            query = run_stream(
+                spark, lake, arrivals, arriving.schema, f"{base}/checkpoint", available_now=True,
+                clock=lambda _epoch, step=step: from_micros(step),
+            )
+            query.awaitTermination()
+            log.wait_for(query)
+    finally:
+        spark.streams.removeListener(log)
+    return snapshot(spark, lake.path(lake.progress_table), PROGRESS_SPEC).select("epoch_id", "input_rows")
+
+
 def bulk_insert_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark)
     bulk_insert(_silver(spark, sf_dir), path, SILVER_SPEC, cluster_by=("ts", "customer_id"))
@@ -421,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "table_probe": table_probe,
     "stream_epoch_replay": stream_epoch_replay,
     "stream_then_scheduled": stream_then_scheduled,
+    "stream_progress": stream_progress,
     "bulk_insert_clustered": bulk_insert_clustered,
     "scheduled_batches": scheduled_batches,
     "backfill_older_window": backfill_older_window,

@@ -113,6 +113,23 @@ STATE_SPECS: Mapping[str, TableSpec] = {
     "state_stale": _state_spec(shared=[_STATE[0], _STATE[-1]]),
 }
 
+PROGRESS_SPEC = TableSpec(
+    partition_fields=("trigger_date",),
+    record_key="epoch_id",
+    ordering_field="trigger_us",
+    schema=T.StructType(
+        [
+            T.StructField("stream_id", T.StringType()),
+            T.StructField("run_id", T.StringType()),
+            T.StructField("epoch_id", T.LongType()),
+            T.StructField("trigger_us", T.LongType()),
+            T.StructField("input_rows", T.LongType()),
+            T.StructField("millis", T.LongType()),
+            T.StructField("trigger_date", T.StringType()),
+        ]
+    ),
+)
+
 DEFAULT_SPECS: Mapping[str, TableSpec] = {
     "bronze_events": BRONZE_SPEC,
     "silver_events": SILVER_SPEC,
@@ -130,6 +147,7 @@ class Lake:
     silver_table: str = "silver_events"
     gold_prefix: str = "gold"
     audit_table: str = "batch_audit"
+    progress_table: str = "stream_progress"
     specs: Mapping[str, TableSpec] = field(default_factory=lambda: dict(DEFAULT_SPECS))
 
     def spec(self, table: str) -> TableSpec:

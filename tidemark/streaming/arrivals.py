@@ -34,6 +34,9 @@ def run_stream(
     available_now: bool = False,
     cadence: str = CADENCE,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
+    max_file_age: str | None = None,
+    archive: str | None = None,
     gold_mode: str = SLICE,
     merge_order: str = EVENT_TIME,
     clock: Callable[[int], datetime] = _now,
@@ -46,6 +49,11 @@ def run_stream(
     epoch already in the audit table is not run again. Nothing is dropped as late:
     batches are cut by arrival, groups by event day. ``arrivals`` must be a
     directory that only gains files, not a table that upserts rewrite.
+
+    What a trigger takes can be limited by files or bytes. With ``archive``, a
+    folder outside ``arrivals``, files are moved there once a later epoch begins, so the
+    listing stays short. Spark forgets files older than ``max_file_age`` (its default: a
+    week) than the newest, and takes none as old as that.
     """
 
     # The id lives in the checkpoint: a stream started over counts epochs anew.
@@ -75,8 +83,16 @@ def run_stream(
         append_audit(session, lake, window, counts, seconds, epoch, window.end_us, before.mark_us or 0)
 
     source = spark.readStream.schema(schema)
-    if max_files_per_trigger is not None:
-        source = source.option("maxFilesPerTrigger", max_files_per_trigger)
+    options = {
+        "maxFilesPerTrigger": max_files_per_trigger,
+        "maxBytesPerTrigger": max_bytes_per_trigger,
+        "maxFileAge": max_file_age,
+        "cleanSource": archive and "archive",
+        "sourceArchiveDir": archive,
+    }
+    for name, value in options.items():
+        if value is not None:
+            source = source.option(name, value)
     trigger = {"availableNow": True} if available_now else {"processingTime": cadence}
     query = (
         source.parquet(arrivals)
