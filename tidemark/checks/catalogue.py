@@ -374,7 +374,7 @@ def stream_then_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows read by each epoch, as Spark's listener was told."""
+    """The epochs that read rows, as Spark's listener was told."""
     base = workspace(spark)
     lake, arrivals = Lake(f"{base}/tables"), f"{base}/arrivals"
     log = ProgressLog(spark, lake)
@@ -391,7 +391,8 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
             log.wait_for(query)
     finally:
         spark.streams.removeListener(log)
-    return snapshot(spark, lake.path(lake.progress_table), PROGRESS_SPEC).select("epoch_id", "input_rows")
+    told = snapshot(spark, lake.path(lake.progress_table), PROGRESS_SPEC)
+    return told.groupBy("epoch_id").agg(F.bool_and(F.col("input_rows") > 0).alias("read_rows"))
 
 
 def bulk_insert_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -233,6 +233,6 @@ SELECT {_silver_list("cast(7 AS bigint)")} FROM silver QUALIFY {_LATEST}""",
 SELECT * EXCLUDE ({COMMIT_COL}) FROM (SELECT {_silver_list()} FROM silver
 QUALIFY ROW_NUMBER() OVER (PARTITION BY dt, category_code, id ORDER BY ts DESC, ver ASC) = 1)""",
     "stream_progress": f"""WITH {BRONZE_SQL}
-SELECT cast(ver AS bigint) AS epoch_id, count(*) AS input_rows FROM bronze GROUP BY ver""",
+SELECT cast(ver AS bigint) AS epoch_id, count(*) > 0 AS read_rows FROM bronze GROUP BY ver""",
     "bulk_insert_clustered": f"WITH {_SILVER_SQL} SELECT {_silver_list()} FROM silver",
 }

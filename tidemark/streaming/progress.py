@@ -14,7 +14,7 @@ from tidemark.spec import PROGRESS_SPEC, Lake
 
 class ProgressLog(StreamingQueryListener):
     """Appends a row per trigger that read rows to the lake's ``stream_progress``: when it
-    started, what it read and how long it took. Spark tells listeners afterwards, so a
+    started, what it read (a row counts each time a batch is read) and how long it took. Spark tells listeners afterwards, so a
     driver lost at once leaves a gap; the audit, not this table, says what is done."""
 
     def __init__(self, spark: SparkSession, lake: Lake) -> None:
