@@ -93,9 +93,10 @@ def plain_merge(rows: DataFrame, path: str, fields: list[str], keys: list[str],
     batch, ranked per key and overwritten."""
     spark = rows.sparkSession
     if os.path.exists(path):
-        touched = F.broadcast(rows.select(*fields).distinct())
+        touched = F.broadcast(rows.select(*[F.col(f).alias(f"_{f}") for f in fields]).distinct())
         stored = spark.read.schema(rows.schema).parquet(path)
-        rows = rows.unionByName(stored.join(touched, fields, "left_semi"))
+        here = [F.col(f).eqNullSafe(F.col(f"_{f}")) for f in fields]
+        rows = rows.unionByName(stored.join(touched, here, "left_semi"))
     latest = Window.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last())
     rows = rows.withColumn("_place", F.row_number().over(latest)).where("_place = 1").drop("_place")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*fields).parquet(path)
