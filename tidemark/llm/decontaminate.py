@@ -107,8 +107,12 @@ def _places(documents: DataFrame, items: DataFrame) -> DataFrame:
     sought = broadcast_if_small(sought, items.count(), MOST_BROADCAST)
     m = F.col("size") - (SHINGLE - 1)
     found = (
-        documents.select("doc_id", let(words(F.col("text")), _shingles).alias("shingles"))
-        .select("doc_id", F.size("shingles").alias("n_doc"), F.posexplode("shingles").alias("pos", "h"))
+        documents.select("doc_id", words(F.col("text")).alias("words"))
+        .select(
+            "doc_id",
+            (F.size("words") - (SHINGLE - 1)).alias("n_doc"),
+            F.posexplode(_shingles(F.col("words"))).alias("pos", "h"),
+        )
         .join(sought, "h")
         .groupBy("doc_id", "n_doc", "item", "size")
         .agg(F.sort_array(F.collect_set("pos")).alias("hits"))
@@ -168,7 +172,8 @@ def _alike(documents: DataFrame, starts: DataFrame, items: DataFrame) -> DataFra
     members = kept(
         documents.join(starts.drop("best"), "doc_id")
         .select("doc_id", words(F.col("text")).alias("words"), "n_doc", "item", "size", "starts")
-        .where(F.size("words") - (SHINGLE - 1) == F.col("n_doc"))
+        # no equality, which would be a key of the join, and have all documents cut into words
+        .where((F.size("words") - (SHINGLE - 1)).between(F.col("n_doc"), F.col("n_doc")))
         .select("doc_id", "words", "item", "size", F.explode("starts").alias("start"))
         .select("doc_id", "item", "size", cut.alias("cut"))
         .withColumn("content", F.md5(F.concat_ws(" ", F.col("size").cast("string"), F.concat_ws(" ", "cut"))))
