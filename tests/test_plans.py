@@ -296,3 +296,35 @@ def test_stored_keys_outside_the_batch_are_skipped(spark, folder):
     report = upsert(batch, folder, spec, 2)
     assert (report.rows, report.written) == (200, 200)
     assert snapshot(spark, folder, spec).where("v = 'new'").count() == 200
+
+
+def test_replaced_rows_come_from_the_one_match(spark, folder):
+    """Neither the stored files nor the batch are joined again to tell what is replaced."""
+    seen = []
+
+    def rows(first, last, v):
+        return spark.range(first, last).selectExpr("id", "'d' AS dt", f"IF(id = 95, 2, {v}) AS ts", f"{v} AS v")
+
+    def look(replaced, _):
+        seen.append((scanned(replaced), sorted((r.id, r.v) for r in replaced.collect())))
+
+    upsert(rows(0, 100, 3), folder, TableSpec(), 1)
+    for limit, mark in ((1000, 2), (0, 3)):  # partitions listed, and too many to list
+        upsert(
+            rows(90, 110, 2 + mark), folder, TableSpec(), mark, before_write=look, replaced_columns=("v",),
+            max_literal_partitions=limit,
+        )
+    assert seen == [(0, [(i, 3) for i in range(90, 100)]), (0, [(i, 4) for i in range(90, 110)])]
+    upsert(rows(94, 112, 0), folder, TableSpec(), 4, before_write=look, replaced_columns=("v",))  # older but 95
+    assert seen[2] == (0, [(95, 5)])
+    found = {r.id: r.v for r in snapshot(spark, folder, TableSpec()).collect()}
+    assert found == {i: 3 for i in range(90)} | {i: 5 for i in range(90, 110)} | {95: 0, 110: 0, 111: 0}
+
+
+def test_merge_of_a_large_batch_that_replaces_few_shuffles_no_stored_row(spark, silver_path):
+    existing = read_table(spark, silver_path, SILVER_SPEC)
+    replaced = existing.where("id = 7").persist()
+    replaced.count()
+    with setting(spark, autoBroadcastJoinThreshold="20k"):
+        text = plan(merge_batch(existing, existing, SILVER_SPEC, COMMIT_TIME, replaced))
+    assert exchanges(text) == 0 and "BroadcastHashJoin" in text

@@ -159,3 +159,33 @@ def test_states_merge_and_part(spark):
         assert (merged.rows, merged.n, merged.total) == (row.rows, row.n, row.total)
         assert merged.m2 == pytest.approx(row.m2, rel=1e-6)
         assert merged.anew or (merged.least, merged.most) == (row.least, row.most)
+
+
+def test_states_of_several_parts_are_taken_back(spark):
+    rows = spark.range(200).selectExpr("id", "id % 3 AS g", "id % 7 AS part", "double(id * id % 31) + 1e6 AS amount")
+    whole = {r.g: r for r in states.moments(rows.where("part < 5"), ["g"]).collect()}
+    gone = states.moments(rows.where("part >= 5"), ["g", "part"]).drop("part").withColumn("sign", F.lit(-1))
+    for row in states.combined(states.moments(rows, ["g"]).withColumn("sign", F.lit(1)).union(gone), ["g"]).collect():
+        assert (row.rows, row.n, row.total) == (whole[row.g].rows, whole[row.g].n, whole[row.g].total)
+        assert row.m2 == pytest.approx(whole[row.g].m2, rel=1e-6)
+
+
+def test_replaced_rows_are_aggregated_once(spark, folder, monkeypatch):
+    lake, made = Lake(folder), []
+    _arrive(spark, lake, 1, [_event(1), _event(2, hour=8), _event(3, category="b")])
+    _run(spark, lake, 1, TOTALS)
+    plain = totals.moments
+    monkeypatch.setattr(totals, "moments", lambda rows, keys, *rest: made.append(tuple(keys)) or plain(rows, keys, *rest))
+    before = totals.Totals.before_write
+    passes = []
+
+    def counted(self, replaced, touched):
+        before(self, replaced, touched)
+        passes.append(len(made))
+
+    monkeypatch.setattr(totals.Totals, "before_write", counted)
+    _arrive(spark, lake, 6, [_event(1, amount="4", hour=9), _event(2, amount="5", hour=9)])
+    _run(spark, lake, 6, TOTALS)
+    assert passes == [1]
+    assert {r.agg_key: r.total_amount for r in _rows(spark, lake, "by_category")} == {"A_2024-01-01": 9.0, "B_2024-01-01": 10.0}
+    assert {r.hour: r.total_amount for r in _rows(spark, lake, "by_hour")} == {7: 10.0, 9: 9.0}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,15 @@ def _same(columns: tuple[str, ...]) -> list[Column]:
     return [F.col(c).eqNullSafe(F.col(_INCOMING + c)) for c in columns]
 
 
-def stored_versions(existing: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
-    """Keys of the batch that are stored already, and whether the stored row outranks the
-    batch's (``_outranks``), from one read of the stored keys and ordering field."""
+def stored_versions(
+    existing: DataFrame, incoming: DataFrame, spec: TableSpec, also: Sequence[str] = ()
+) -> DataFrame:
+    """The stored rows of keys that the batch holds too, and whether they outrank the
+    batch's (``_outranks``), from one read of the stored keys, ordering field and ``also``."""
+    columns = list(dict.fromkeys((*_compared(spec), *also)))
     sent = _prefixed(incoming, _compared(spec))
-    both = existing.select(*_compared(spec)).join(sent, _same(spec.keys))
-    return both.select(*spec.keys, _outranks(spec).alias("_outranks"))
+    both = existing.select(*columns).join(sent, _same(spec.keys))
+    return both.select(*columns, _outranks(spec).alias("_outranks"))
 
 
 def _outranks(spec: TableSpec) -> Column:
@@ -39,14 +44,9 @@ def _outranks(spec: TableSpec) -> Column:
     return F.coalesce((stored > sent) | (stored.isNotNull() & sent.isNull()), F.lit(False))
 
 
-def replaced_rows(existing: DataFrame, winners: DataFrame, spec: TableSpec) -> DataFrame:
-    """The stored rows whose place ``winners`` take."""
-    return existing.join(_prefixed(winners, list(spec.keys)), _same(spec.keys), "left_semi")
-
-
-def without(incoming: DataFrame, newer: DataFrame, spec: TableSpec) -> DataFrame:
-    """Incoming rows of other keys than those of ``newer``."""
-    return incoming.join(_prefixed(newer, list(spec.keys)), _same(spec.keys), "left_anti")
+def without(rows: DataFrame, others: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows of other keys than those of ``others``."""
+    return rows.join(_prefixed(others, list(spec.keys)), _same(spec.keys), "left_anti")
 
 
 def accepted_rows(existing: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
@@ -66,16 +66,22 @@ def accepted_rows(existing: DataFrame, incoming: DataFrame, spec: TableSpec) ->
 
 
 def merge_batch(
-    existing: DataFrame, incoming: DataFrame, spec: TableSpec, merge_order: str = EVENT_TIME
+    existing: DataFrame,
+    incoming: DataFrame,
+    spec: TableSpec,
+    merge_order: str = EVENT_TIME,
+    replaced: DataFrame | None = None,
 ) -> DataFrame:
     """Stored rows of untouched keys, plus the incoming rows that win.
 
     ``incoming`` holds one row per key. With ``event_time`` an incoming row older
     than the stored one loses; with ``commit_time`` it always wins. A stored row
-    that stays is passed through as it is, commit mark included.
+    that stays is passed through as it is, commit mark included. ``replaced``, if known,
+    are the stored rows whose place the winners take: mostly far fewer than the batch's, so
+    that no stored row is shuffled to be compared with the others.
     """
     if merge_order not in (EVENT_TIME, COMMIT_TIME):
         raise ValueError(f"unknown merge order {merge_order!r}")
     winners = accepted_rows(existing, incoming, spec) if merge_order == EVENT_TIME else incoming
-    kept = existing.join(_prefixed(winners, list(spec.keys)), _same(spec.keys), "left_anti")
+    kept = without(existing, winners if replaced is None else replaced, spec)
     return kept.unionByName(winners, allowMissingColumns=True)

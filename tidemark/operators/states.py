@@ -44,8 +44,8 @@ def combined(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     rows have to be read to know it.
 
     The deviations of all rows from the common mean are each part's own, and its rows times
-    the squared distance of its mean: ``sum(sign * (m2 + n * (mean - common) ** 2))``. A
-    group has one part stored, one added and one taken back at most.
+    the squared distance of its mean: ``sum(sign * (m2 + n * (mean - common) ** 2))``. The
+    parts of a sign are states of disjoint rows, so a group can have several.
     """
     signed = {c: F.sum(F.col("sign") * F.col(c)).alias(c) for c in ("rows", "n", "total")}
     mean = F.when(F.col("n") > 0, F.col("total") / F.col("n")).otherwise(0.0)

@@ -25,7 +25,7 @@ from tidemark.plans.batch import (
     next_window,
     progress,
 )
-from tidemark.plans.totals import TOTALS, Totals
+from tidemark.plans.totals import REPLACED_COLUMNS, TOTALS, Totals
 from tidemark.sources.partitions import (
     MAX_LITERAL_PARTITIONS,
     Partitions,
@@ -85,6 +85,7 @@ def process(
         on_null_key="reject",
         max_literal_partitions=max_literal_partitions,
         before_write=before_write,
+        replaced_columns=REPLACED_COLUMNS if gold_mode == TOTALS else (),
     )
     sent = silver.rows + silver.rejected  # silver keeps every bronze row
     counts = {

@@ -31,6 +31,12 @@ TOTALS = "totals"
 _CATEGORY, _HOUR, _CUSTOMERS, _STALE = "state_by_category", "state_by_hour", "state_customers", "state_stale"
 _DAY = ("dt",)
 
+# What the states of replaced rows are made of.
+REPLACED_COLUMNS = ("id", "ts", "dt", "category_code", "amount", "is_valid")
+
+# The groups that every gold group is made up of.
+_FINEST = tuple(dict.fromkeys(key for keys in gold.GROUP_KEYS.values() for key in keys))
+
 
 def _days(values: list[str | None]) -> Partitions:
     return Partitions(_DAY, tuple((v,) for v in values))
@@ -82,8 +88,7 @@ class Totals:
             return
         self.taken = f"{self.lake.path('state_taken')}/{uuid.uuid4().hex}"
         rows = gold.with_hour(gold.valid_rows(replaced.where(F.col("dt").isin(sorted(self.current)))))
-        for name, keys in gold.GROUP_KEYS.items():
-            moments(rows, keys).write.parquet(f"{self.taken}/{name}")
+        moments(rows, _FINEST).write.parquet(self.taken)
 
     def update(
         self, silver_slice: DataFrame, days: Partitions, silver: Callable[[Partitions], DataFrame]
@@ -141,9 +146,10 @@ class _Changes:
         for df in self._cached:
             df.unpersist()
 
-    def _taken(self, name: str) -> DataFrame | None:
+    def _taken(self) -> DataFrame | None:
+        """The states of the replaced rows, by all keys of gold: a group has several."""
         taken = self.totals.taken
-        return None if taken is None else self.totals.spark.read.parquet(f"{taken}/{name}")
+        return None if taken is None else self.totals.spark.read.parquet(taken)
 
     def _rows_of(self, groups: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         """Silver's valid rows of some groups, from the partitions that hold them."""
@@ -159,7 +165,8 @@ class _Changes:
             stored = self.totals.read(f"state_{name}", self.current).select(*keys, *STATE)
             parts = stored.unionByName(moments(self.added, keys)).withColumn("sign", F.lit(1))
             if self.totals.taken is not None:
-                parts = parts.unionByName(self._taken(name).withColumn("sign", F.lit(-1)))
+                taken = self._taken().select(*keys, *STATE)
+                parts = parts.unionByName(taken.withColumn("sign", F.lit(-1)))
             merged = combined(parts, keys).persist()
             self._cached.append(merged)
             found.append(merged.where(~F.col("anew")).drop("anew"))
@@ -184,7 +191,7 @@ class _Changes:
         if self.added is not None:
             stored = self.totals.read(_CUSTOMERS, self.current).select(*keys, "bucket", "bits")
             merged = merged_bitmaps(stored.unionByName(bitmaps(self.added, keys, "customer_id")), keys)
-            shrunk = self._taken("by_hour")
+            shrunk = self._taken()
             if shrunk is not None and not shrunk.isEmpty():
                 merged = merged.join(_renamed(shrunk, keys), _same(keys), "left_anti")
                 parts.append(bitmaps(self._rows_of(shrunk.select(*keys), keys), keys, "customer_id"))
@@ -201,7 +208,7 @@ class _Changes:
         if self.added is not None:
             changed = self.added.select(*keys)
             if self.totals.taken is not None:
-                changed = changed.unionByName(self._taken("by_hour").select(*keys))
+                changed = changed.unionByName(self._taken().select(*keys))
             changed = changed.distinct().persist()
             self._cached.append(changed)
             stored = self.totals.read(_HOUR, self.current).select(*keys, "uniques")

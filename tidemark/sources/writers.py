@@ -25,7 +25,6 @@ from tidemark.operators.merge import (
     COMMIT_TIME,
     EVENT_TIME,
     merge_batch,
-    replaced_rows,
     stored_versions,
     without,
 )
@@ -46,7 +45,8 @@ from tidemark.spec import COMMIT_COL, TableSpec
 _TIMES = "_times"
 
 # What to do with the stored rows about to be replaced, None if there are none, and the
-# partitions the batch touches, None if they are not known.
+# partitions the batch touches, None if they are not known. Of the rows the keys, the ordering
+# field and the columns asked for are given.
 BeforeWrite = Callable[[DataFrame | None, "Partitions | PartitionSpan | None"], None]
 
 
@@ -227,6 +227,7 @@ def upsert(
     max_literal_partitions: int = MAX_LITERAL_PARTITIONS,
     touched: Partitions | PartitionSpan | None = None,
     before_write: BeforeWrite | None = None,
+    replaced_columns: Sequence[str] = (),
 ) -> UpsertReport:
     """Insert new keys and replace stored ones in the partitions the batch touches.
 
@@ -239,6 +240,8 @@ def upsert(
     need not be compared with stored rows, as it opens the table or always wins in
     ``touched`` partitions, is read and written in one job. Such a batch must read the same
     each time if ``touched`` is given: it is merged with the rows it leaves in place.
+
+    ``before_write`` gets ``replaced_columns`` of the stored rows too.
     """
     if on_null_key not in ("raise", "reject"):
         raise ValueError(f"unknown on_null_key {on_null_key!r}")
@@ -263,7 +266,7 @@ def upsert(
         if not report.rows:
             return report
         keyed = rows.where(F.col(spec.record_key).isNotNull()).drop(_TIMES)
-        return _merged(keyed, path, spec, commit_us, merge_order, report, bounds, before_write)
+        return _merged(keyed, path, spec, commit_us, merge_order, report, bounds, before_write, replaced_columns)
     finally:
         rows.unpersist()
 
@@ -286,9 +289,14 @@ def _merged(
     report: UpsertReport,
     bounds: tuple | None,
     before_write: BeforeWrite | None,
+    replaced_columns: Sequence[str],
 ) -> UpsertReport:
     """Merges unique, cached rows. Those of partitions that store no key of the batch are
-    appended, and the files there stay as they are: run again, they are found stored."""
+    appended, and the files there stay as they are: run again, they are found stored.
+
+    The batch is joined with the stored rows once. What comes of that, the stored rows of
+    its keys, is cached: all else is decided from it, and the batch is compared a second time
+    only if stored rows outrank some of it."""
     touched, counts = report.partitions, []
 
     def save(laid: DataFrame, mode: str) -> None:
@@ -304,24 +312,31 @@ def _merged(
             before_write(None, touched)
         save(rows, "overwrite")
         return done()
-    versions = stored_versions(_key_range(existing, bounds, spec), rows, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    versions = stored_versions(_key_range(existing, bounds, spec), rows, spec, replaced_columns)
+    versions = versions.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fresh, merging = None, rows
+        fresh, merging, replaced = None, rows, versions
         if isinstance(touched, Partitions):
-            matched = partitions_of(versions, touched.fields, len(touched.values))
+            found = versions.groupBy(*touched.fields).agg(F.count_if("_outranks").alias("outranking")).collect()
+            matched = Partitions(touched.fields, tuple(tuple(row)[:-1] for row in found))
+            outranked = any(row["outranking"] for row in found)
             if len(matched.values) < len(touched.values):
                 to_merge = F.coalesce(matched.predicate(), F.lit(False))  # NULL fields match no literal
                 fresh = rows.where(~to_merge)
                 merging = rows.where(to_merge) if matched.values else None
                 existing = existing.where(matched.predicate())
-        if merge_order == EVENT_TIME and merging is not None:
-            merging = without(merging, versions.where("_outranks"), spec)
+        else:
+            outranked = versions.agg(F.bool_or("_outranks")).first()[0]
+        if merge_order == EVENT_TIME and outranked and merging is not None:
+            outranking = versions.where("_outranks")
+            merging, replaced = without(merging, outranking, spec), without(versions, outranking, spec)
+        replaced = replaced.drop("_outranks")
         if before_write is not None:
-            before_write(None if merging is None else replaced_rows(existing, merging, spec), touched)
+            before_write(None if merging is None else replaced, touched)
         if fresh is not None:
             save(fresh, "append")
         if merging is not None:
-            save(merge_batch(existing, merging, spec, COMMIT_TIME), "overwrite")
+            save(merge_batch(existing, merging, spec, COMMIT_TIME, replaced), "overwrite")
         return done()
     finally:
         versions.unpersist()
